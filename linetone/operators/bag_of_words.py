@@ -49,7 +49,9 @@ def unique_phrases(
         source = source.where(F.col("phrase_key") != "")
     fields = [c for c in dict.fromkeys([*order, *keep]) if c not in scope]
     groups = source.groupBy(*scope, "phrase_key")
-    if len(fields) == 1:
+    if not fields:
+        first = source.select(*scope, "phrase_key").distinct()
+    elif len(fields) == 1:
         first = groups.agg(F.min(fields[0]).alias(fields[0]))
     else:
         first = groups.agg(F.min(F.struct(*fields)).alias("first")).select(

@@ -44,7 +44,7 @@ def fit_classifier(
     prediction: str = "Sentiment_Predicted",
     **options,
 ) -> LogisticRegressionModel:
-    """Fit on ``train``; ``options`` go to :class:`LogisticRegression` as they are.
+    """Fit on ``train``; further ``options`` go to the estimator as they are.
 
     Every iteration sums a gradient of classes x terms over all tasks. On many
     executors ``aggregationDepth`` above 2 keeps those sums off the driver.

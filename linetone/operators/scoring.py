@@ -6,17 +6,23 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from linetone.operators.vocabulary import explode_terms
+from linetone.operators.vocabulary import BROADCAST_TERMS, explode_terms
 
 MARGIN = "margin_{}"
 
 
 def weight_table(spark: SparkSession, weights: Mapping[str, Sequence[float]]) -> DataFrame:
-    """Term weights as a table: ``term`` and one ``weight_<class>`` per class."""
+    """Term weights as a table: ``term`` and one ``weight_<class>`` per class.
+
+    Spark cannot see the size of a table made on the driver and would shuffle every
+    word to meet it, so up to ``BROADCAST_TERMS`` rows carry a broadcast hint. More
+    are joined by term, where the adaptive skew join splits the common words.
+    """
     classes = len(next(iter(weights.values())))
     columns = ", ".join(f"weight_{k} double" for k in range(classes))
     rows = [(term, *map(float, values)) for term, values in weights.items()]
-    return spark.createDataFrame(rows, f"term string, {columns}")
+    weighted = spark.createDataFrame(rows, f"term string, {columns}")
+    return F.broadcast(weighted) if len(rows) <= BROADCAST_TERMS else weighted
 
 
 def margins(
@@ -29,7 +35,6 @@ def margins(
 
     The other columns must identify a row. Like the term counts, this groups by
     ``phrase_key`` among them and so reuses the partitioning of the de-duplication.
-    Whether ``weights`` is broadcast is left to its size.
     """
     others = [c for c in phrases.columns if c != column]
     terms = explode_terms(phrases, column)

@@ -10,8 +10,8 @@ from linetone.functions.keys import TEXT_SUFFIX
 
 def list_text_files(spark: SparkSession, folder: str, suffix: str = TEXT_SUFFIX) -> DataFrame:
     """``file_key`` of every text file in ``folder``. No content is read."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}")
-    return files.load(folder).select(path_file_key(F.col("path")).alias("file_key"))
+    files = spark.read.load(folder, format="binaryFile", pathGlobFilter=f"*{suffix}")
+    return files.select(path_file_key(F.col("path")).alias("file_key"))
 
 
 def read_line_files(
@@ -23,8 +23,8 @@ def read_line_files(
     Spark packs small files into splits and cuts large ones, so neither many short
     texts nor one huge text decides the number of tasks.
     """
-    reader = spark.read.option("pathGlobFilter", f"*{suffix}").option("wholetext", whole)
-    return reader.text(folder).select(
+    texts = spark.read.text(folder, wholetext=whole, pathGlobFilter=f"*{suffix}")
+    return texts.select(
         scanned_file_key(F.col("_metadata.file_name")).alias("file_key"),
         F.col("value").alias("Phrase"),
     )

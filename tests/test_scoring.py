@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import pytest
+from conftest import plan_of, rows
+
+from linetone.operators import (
+    add_words,
+    mean_score,
+    mean_score_without_neutral,
+    score_phrases,
+    title_report,
+    unique_phrases,
+    weight_table,
+)
+from linetone.operators import scoring
+
+WEIGHTS = {"bad": (3, 0, 0, 0, 0), "fine": (0, 0, 0, 3, 0), "great": (0, 0, 0, 0, 3)}
+INTERCEPTS = (0, 0, 1, 0, 0)
+LINES = [
+    (1, "bad bad"),
+    (1, "great"),
+    (1, "plain words"),
+    (2, "nothing special"),
+    (2, "..."),
+    (4, "bad great"),
+]
+
+
+@pytest.fixture
+def scored(spark, phrases):
+    unique = unique_phrases(add_words(phrases(LINES, 3)), ["movieId", "line_no"])
+    return score_phrases(unique, weight_table(spark, WEIGHTS), INTERCEPTS)
+
+
+@pytest.fixture
+def titles(spark):
+    return spark.createDataFrame(
+        [(4, "Four"), (1, "One"), (2, "Two"), (3, "Three")], "movieId long, title string"
+    )
+
+
+def test_predictions(scored):
+    assert rows(scored, "movieId", "line_no", "Sentiment_Predicted") == [
+        (1, 0, 0.0),
+        (1, 1, 4.0),
+        (1, 2, 2.0),
+        (2, 3, 2.0),
+        (2, 4, 2.0),  # no words: the intercepts decide
+        (4, 5, 0.0),  # a tie goes to the lowest class
+    ]
+    margins = scored.where("line_no = 0").select(*(f"margin_{k}" for k in range(5)))
+    assert rows(margins) == [(6.0, 0.0, 1.0, 0.0, 0.0)]
+
+
+def test_scoring_reuses_the_partitioning_of_the_deduplication(spark, scored):
+    plan = plan_of(scored)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "SortMergeJoin" not in plan
+
+
+def test_unhinted_weights_give_the_same(spark, phrases, scored, monkeypatch):
+    monkeypatch.setattr(scoring, "BROADCAST_TERMS", 0)
+    unique = unique_phrases(add_words(phrases(LINES)), ["movieId", "line_no"])
+    table = weight_table(spark, WEIGHTS)
+    assert rows(score_phrases(unique, table, INTERCEPTS)) == rows(scored)
+
+
+def test_means(scored):
+    assert rows(mean_score(scored)) == [(1, 2.0), (2, 2.0), (4, 0.0)]
+    assert rows(mean_score_without_neutral(scored)) == [(1, 2.0), (4, 0.0)]
+    assert rows(mean_score_without_neutral(scored, neutral=0.0)) == [(1, 3.0), (2, 2.0)]
+
+
+def test_report_leaves_out_all_neutral_and_unscored_titles(titles, scored):
+    found = title_report(titles, scored)
+    assert [tuple(r) for r in found.collect()] == [(1, "One", 2.0, 2.0), (4, "Four", 0.0, 0.0)]
+
+
+def test_report_with_all_titles(titles, scored):
+    found = title_report(titles, scored, keep_all_titles=True)
+    assert [tuple(r) for r in found.collect()] == [
+        (1, "One", 2.0, 2.0),
+        (2, "Two", 2.0, None),
+        (3, "Three", None, None),
+        (4, "Four", 0.0, 0.0),
+    ]
+
+
+def test_report_reads_the_scored_set_once(titles, scored):
+    plan = plan_of(title_report(titles, scored))
+    assert plan.count("HashAggregate(keys=[movieId") == 2  # partial and final

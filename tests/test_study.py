@@ -1,0 +1,123 @@
+from __future__ import annotations
+
+import pytest
+from conftest import rows
+
+from linetone import cli
+from linetone.plans.study import SentimentStudy
+from linetone.sources import load_classifier
+
+SUBTITLES = {
+    "Great One (1995)": ["wonderful superb film", "", "00:01:02,000 --> 00:01:03,000", "one mess"],
+    "Bad, The (1996)": ["terrible awful mess", "wonderful superb film", "awful"],
+    "FaceOff (1997)": ["plain words about story"],
+}
+CATALOGUE = """movieId,title,genres
+3,Face/Off (1997),Action
+1,Great One (1995),Drama
+2,"Bad, The (1996)",Comedy|Drama
+4,Never Filmed (1998),Drama
+"""
+PHRASES = [
+    ("awful terrible mess", 0),
+    ("terrible waste", 0),
+    ("rather weak film", 1),
+    ("weak story", 1),
+    ("plain story", 2),
+    ("plain words", 2),
+    ("rather good film", 3),
+    ("good story", 3),
+    ("superb wonderful film", 4),
+    ("wonderful", 4),
+    ("Wonderful!", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def files(tmp_path_factory):
+    root = tmp_path_factory.mktemp("inputs")
+    (root / "movies.csv").write_text(CATALOGUE)
+    (root / "subs").mkdir()
+    for title, lines in SUBTITLES.items():
+        (root / "subs" / f"{title}.en.srt").write_text("\n".join(lines))
+    table = ["PhraseId\tSentenceId\tPhrase\tSentiment"]
+    table += [f"{i}\t{i // 2}\t{p}\t{s}" for i, (p, s) in enumerate(PHRASES, 1)]
+    (root / "train.tsv").write_text("\n".join([*table, "99\t9\t\t2\n"]))
+    return root
+
+
+@pytest.fixture(scope="module")
+def build(spark, files):
+    def make(**options):
+        return SentimentStudy(
+            spark,
+            str(files / "movies.csv"),
+            str(files / "subs"),
+            str(files / "train.tsv"),
+            **options,
+        )
+
+    return make
+
+
+def test_whole_study(build, tmp_path):
+    study = build()
+    assert (study.n_movies, study.n_movies_without_subs) == (3, 1)
+    assert study.df_movies.columns == ["movieId", "title", "genres", "srt_path"]
+    assert rows(study.df_movies_without_subs, "movieId") == [(4,)]
+    assert study.rejected_movies.count() == 0
+    assert rows(study.rejected_phrases, "PhraseId") == [(99,)]
+    assert study.df_train.count() == len(PHRASES) - 1  # "Wonderful!" repeats phrase 10
+    assert rows(study.df_test.where("size(filtered) = 0"), "movieId") == [(1,)]
+    shared = study.df_test.where("Phrase = 'wonderful superb film'")
+    assert rows(shared, "movieId", "words_regex", "filtered") == [
+        (1, ("wonderful", "superb", "film"), ("wonderful", "superb", "film"))
+    ]
+    with pytest.raises(RuntimeError):
+        study.df_results
+    study.classification(regParam=0.01)
+    results = [tuple(r) for r in study.df_results.collect()]
+    assert [r[:2] for r in results] == [(1, "Great One (1995)"), (2, "Bad, The (1996)")]
+    assert results[0][2] > results[1][2] == results[1][3] == 0.0
+    before = rows(study.df_test, "Phrase", "Sentiment_Predicted")
+    path = study.save_model(str(tmp_path))
+    assert path.endswith("lr_model_test_None_train_10")
+    again = load_classifier(path).transform(
+        study.df_test.drop("rawPrediction", "probability", "Sentiment_Predicted")
+    )
+    assert rows(again, "Phrase", "Sentiment_Predicted") == before
+    study.perform_count_vec()
+    study.classification(regParam=0.01)
+    study.classification(regParam=0.01)
+    assert rows(study.df_test, "Phrase", "Sentiment_Predicted") == before
+
+
+def test_options(build):
+    by_title = build(scope="title", drop_empty=True)
+    shared = by_title.df_test.where("Phrase = 'wonderful superb film'")
+    assert rows(shared, "movieId") == [(1,), (2,)]
+    assert by_title.df_test.where("size(filtered) = 0").count() == 0
+    limited = build(limit_movies=1, limit_training_set=9, vocabulary_from="train")
+    assert rows(limited.df_movies, "movieId") == [(1,)]
+    assert limited.n_movies_without_subs == 0
+    assert limited.df_train.count() == 9
+    assert "one" not in limited.perform_count_vec().vocabulary
+    everything = build(keep_all_titles=True, vocab_size=50)
+    everything.classification(regParam=0.01)
+    assert rows(everything.df_results, "movieId") == [(1,), (2,), (3,)]
+    with pytest.raises(ValueError, match="scope"):
+        build(scope="movie")
+
+
+def test_command_line(spark, files, tmp_path, capsys):
+    log = tmp_path / "run.log"
+    argv = ["--csv_dir", files, "--srt_dir", files / "subs", "--tsv_dir", files]
+    argv += ["--out_dir", tmp_path, "--limit_movies", "4", "--log", log, "-v", "1"]
+    args = cli.build_parser().parse_args([str(a) for a in argv])
+    assert (args.limit_movies, args.limit_training_set, args.verbose) == (4, None, 1)
+    study = cli.run(spark, args)
+    printed = capsys.readouterr().out
+    assert "not found for 1 movie" in printed and "Continuing with 3 movies" in printed
+    assert printed.index("Training set") < printed.index("Testing set")
+    assert rows(spark.read.parquet(f"{tmp_path}/results")) == rows(study.df_results)
+    load_classifier(f"{tmp_path}/lr_model_test_4_train_10")
