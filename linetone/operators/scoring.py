@@ -1,4 +1,4 @@
-"""Linear scoring of phrases with a table of term weights."""
+"""Linear scoring of phrases with given term weights."""
 
 from __future__ import annotations
 
@@ -10,6 +10,9 @@ from linetone.operators.vocabulary import BROADCAST_TERMS, explode_terms
 
 MARGIN = "margin_{}"
 
+# Up to this many weighted words are listed in the plan itself.
+LITERAL_TERMS = 10_000
+
 
 def weight_table(spark: SparkSession, weights: Mapping[str, Sequence[float]]) -> DataFrame:
     """Term weights as a table: ``term`` and one ``weight_<class>`` per class.
@@ -27,22 +30,28 @@ def weight_table(spark: SparkSession, weights: Mapping[str, Sequence[float]]) ->
 
 def margins(
     phrases: DataFrame,
-    weights: DataFrame,
+    weights: Mapping[str, Sequence[float]],
     intercepts: Sequence[float],
     column: str = "filtered",
 ) -> DataFrame:
     """Replace ``column`` by ``margin_<class>``: intercept plus the weights of its words.
 
-    The other columns must identify a row. Like the term counts, this groups by
-    ``phrase_key`` among them and so reuses the partitioning of the de-duplication.
+    The other columns must identify a row. Grouping by ``phrase_key`` among them
+    reuses the partitioning of the de-duplication, so nothing is shuffled. Words
+    without a weight add nothing and are dropped before there is a row per word,
+    unless the list of weights is too long to be part of the plan.
     """
     others = [c for c in phrases.columns if c != column]
+    if len(weights) <= LITERAL_TERMS:
+        weighted = F.filter(column, lambda w: w.isin(sorted(weights)))
+        phrases = phrases.select(*others, weighted.alias(column))
     terms = explode_terms(phrases, column)
     sums = [
         (F.coalesce(F.sum(f"weight_{k}"), F.lit(0.0)) + F.lit(float(b))).alias(MARGIN.format(k))
         for k, b in enumerate(intercepts)
     ]
-    return terms.join(weights, "term", "left").groupBy(*others).agg(*sums)
+    table = weight_table(phrases.sparkSession, weights)
+    return terms.join(table, "term", "left").groupBy(*others).agg(*sums)
 
 
 def predicted_class(classes: int) -> Column:
@@ -53,7 +62,7 @@ def predicted_class(classes: int) -> Column:
 
 def score_phrases(
     phrases: DataFrame,
-    weights: DataFrame,
+    weights: Mapping[str, Sequence[float]],
     intercepts: Sequence[float],
     prediction: str = "Sentiment_Predicted",
 ) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, Window, functions as F
 
+from linetone.session import new_path
+
 # Fixed value: the default vocabulary size of Spark's count vectoriser.
 VOCAB_SIZE = 262_144
 
@@ -60,13 +62,21 @@ def fit_vectoriser(
 ) -> CountVectorizerModel:
     """Count vectoriser over the ranked vocabulary.
 
-    The model holds its terms on the driver by nature: ``size`` bounds the collect.
+    The model takes its terms as one list, which ``size`` bounds. Handing that list
+    over from Python costs one call per term, so Spark writes it into a saved model
+    instead, in the form such a model has on disk, and the model is loaded from there.
     """
-    ranked = ranked_vocabulary(corpus, size, column).orderBy("idx").collect()
-    if not ranked:
+    spark = corpus.sparkSession
+    path = new_path(spark, "vectoriser")
+    shell = CountVectorizerModel.from_vocabulary([""], inputCol=column, outputCol=output)
+    shell.set(shell.vocabSize, size)
+    shell.write().save(path)
+    in_order = F.array_sort(F.collect_list(F.struct("idx", "term")))
+    terms = ranked_vocabulary(corpus, size, column).agg(in_order["term"].alias("vocabulary"))
+    terms.write.mode("overwrite").parquet(f"{path}/data")
+    if not spark.read.parquet(f"{path}/data").select(F.size("vocabulary")).first()[0]:
         raise ValueError("the corpus holds no term to build a vocabulary from")
-    terms = [row["term"] for row in ranked]
-    return CountVectorizerModel.from_vocabulary(terms, inputCol=column, outputCol=output)
+    return CountVectorizerModel.load(path)
 
 
 def term_counts(
@@ -74,17 +84,41 @@ def term_counts(
 ) -> DataFrame:
     """Long form of the count vectors: the other columns of ``rows``, ``idx``, ``n``.
 
-    ``rows`` straight from the de-duplication are already partitioned by
-    ``phrase_key``. Grouping on it too lets Spark count without another shuffle.
-    Words outside the vocabulary are ignored.
+    A row holds all its words, so it is counted where it lies: no word is shuffled or
+    grouped. Words outside the vocabulary are ignored.
     """
     others = [c for c in rows.columns if c != column]
     index = vocabulary.select("term", "idx")
     if size <= BROADCAST_TERMS:
         index = F.broadcast(index)
+    runs = _word_runs(rows, others, column)
+    return runs.join(index, "term").select(*others, "idx", "n")
+
+
+def _word_runs(rows: DataFrame, others: list[str], column: str) -> DataFrame:
+    """Distinct words ``term`` of each row with their number ``n``.
+
+    Sorts the list and measures the runs of equal words. The list and the run starts
+    are columns of their own, so that neither is worked out again for every word.
+    """
+    last = F.size("sorted") - 1
+    starts = F.filter(
+        F.when(last >= 0, F.sequence(F.lit(0), last)),
+        lambda i: (i == 0) | (F.get("sorted", i) != F.get("sorted", i - 1)),
+    )
+    runs = F.transform(
+        "starts",
+        lambda start, k: F.struct(
+            F.get("sorted", start).alias("term"),
+            (F.coalesce(F.get("starts", k + 1), F.size("sorted")) - start)
+            .cast("long")
+            .alias("n"),
+        ),
+    )
     return (
-        explode_terms(rows, column)
-        .join(index, "term")
-        .groupBy(*others, "idx")
-        .agg(F.count("*").alias("n"))
+        rows.select(*others, F.sort_array(column).alias("sorted"))
+        .select(*others, "sorted", starts.alias("starts"))
+        .select(*others, F.explode_outer(runs).alias("run"))
+        .where(F.col("run").isNotNull())
+        .select(*others, "run.term", "run.n")
     )

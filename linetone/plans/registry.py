@@ -22,7 +22,6 @@ from linetone.operators import (
     title_text,
     titles_with_text,
     titles_without_text,
-    weight_table,
     word_counts,
     word_stream,
 )
@@ -241,20 +240,17 @@ def word_stream_counts(spark: SparkSession, folder: str) -> DataFrame:
 # Scores and reports with fixed weights
 
 
-def _scored(spark: SparkSession, unique: DataFrame) -> DataFrame:
-    return score_phrases(unique, weight_table(spark, WEIGHTS), INTERCEPTS)
-
-
 def _scored_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored(spark, _unique_lines(spark, folder, ["movieId"]))
+    return score_phrases(_unique_lines(spark, folder, ["movieId"]), WEIGHTS, INTERCEPTS)
 
 
 def _scored_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored(spark, bag_of_words(document_lines(spark, folder), ["movieId"]))
+    unique = bag_of_words(document_lines(spark, folder), ["movieId"])
+    return score_phrases(unique, WEIGHTS, INTERCEPTS)
 
 
 def fixed_weight_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return _scored(spark, _unique_lines(spark, folder)).drop("phrase_key")
+    return score_phrases(_unique_lines(spark, folder), WEIGHTS, INTERCEPTS).drop("phrase_key")
 
 
 def mean_scores(spark: SparkSession, folder: str) -> DataFrame:

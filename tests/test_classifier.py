@@ -11,7 +11,6 @@ from linetone.operators import (
     fit_classifier,
     fit_vectoriser,
     score_phrases,
-    weight_table,
 )
 from linetone.plans.training import train_and_score, vectorise
 from linetone.sources import load_classifier, save_classifier
@@ -51,14 +50,14 @@ def test_predictions(fitted):
     assert fitted.classifier.numClasses == 5
 
 
-def test_weight_table_twin(spark, fitted):
+def test_weight_table_twin(fitted):
     model = fitted.classifier
     weights = {
         term: tuple(model.coefficientMatrix.toArray()[:, i])
         for i, term in enumerate(fitted.vectoriser.vocabulary)
     }
     lines = fitted.lines.select("Phrase", "filtered")
-    twin = score_phrases(lines, weight_table(spark, weights), model.interceptVector.toArray())
+    twin = score_phrases(lines, weights, model.interceptVector.toArray())
     assert rows(twin, "Phrase", "Sentiment_Predicted") == rows(
         fitted.lines, "Phrase", "Sentiment_Predicted"
     )
@@ -114,5 +113,5 @@ def test_missing_classes_warn(spark):
         assert check_labels(df) == 5
     whole = spark.createDataFrame([(0,), (1,)], "Sentiment int")
     with warnings.catch_warnings():
-        warnings.simplefilter("error")
+        warnings.simplefilter("error", UserWarning)
         assert check_labels(whole) == 2

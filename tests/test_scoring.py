@@ -10,7 +10,6 @@ from linetone.operators import (
     score_phrases,
     title_report,
     unique_phrases,
-    weight_table,
 )
 from linetone.operators import scoring
 
@@ -27,9 +26,9 @@ LINES = [
 
 
 @pytest.fixture
-def scored(spark, phrases):
+def scored(phrases):
     unique = unique_phrases(add_words(phrases(LINES, 3)), ["movieId", "line_no"])
-    return score_phrases(unique, weight_table(spark, WEIGHTS), INTERCEPTS)
+    return score_phrases(unique, WEIGHTS, INTERCEPTS)
 
 
 @pytest.fixture
@@ -52,17 +51,17 @@ def test_predictions(scored):
     assert rows(margins) == [(6.0, 0.0, 1.0, 0.0, 0.0)]
 
 
-def test_scoring_reuses_the_partitioning_of_the_deduplication(spark, scored):
+def test_scoring_reuses_the_partitioning_of_the_deduplication(scored):
     plan = plan_of(scored)
     assert plan.count("Exchange hashpartitioning") == 1
     assert "SortMergeJoin" not in plan
 
 
-def test_unhinted_weights_give_the_same(spark, phrases, scored, monkeypatch):
-    monkeypatch.setattr(scoring, "BROADCAST_TERMS", 0)
+@pytest.mark.parametrize("limit", ["LITERAL_TERMS", "BROADCAST_TERMS"])
+def test_long_weight_lists_give_the_same(phrases, scored, monkeypatch, limit):
+    monkeypatch.setattr(scoring, limit, 0)
     unique = unique_phrases(add_words(phrases(LINES)), ["movieId", "line_no"])
-    table = weight_table(spark, WEIGHTS)
-    assert rows(score_phrases(unique, table, INTERCEPTS)) == rows(scored)
+    assert rows(score_phrases(unique, WEIGHTS, INTERCEPTS)) == rows(scored)
 
 
 def test_means(scored):
