@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from linetone.plans.study import SentimentStudy
+from linetone.session import discard_run
 
 log = logging.getLogger("linetone")
 
@@ -73,6 +74,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     try:
         run(spark, args)
     finally:
+        discard_run(spark)
         log.removeHandler(handler)
         handler.close()
         spark.stop()

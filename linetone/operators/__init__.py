@@ -2,7 +2,13 @@ from linetone.operators.bag_of_words import add_words, bag_of_words, null_phrase
 from linetone.operators.classifier import check_labels, fit_classifier
 from linetone.operators.coverage import coverage_counts, titles_with_text, titles_without_text
 from linetone.operators.report import mean_score, mean_score_without_neutral, title_report
-from linetone.operators.scoring import margins, predicted_class, score_phrases, weight_table
+from linetone.operators.scoring import (
+    margins,
+    model_weights,
+    predicted_class,
+    score_phrases,
+    weight_table,
+)
 from linetone.operators.vocabulary import (
     VOCAB_SIZE,
     combined_corpus,
@@ -27,6 +33,7 @@ __all__ = [
     "margins",
     "mean_score",
     "mean_score_without_neutral",
+    "model_weights",
     "null_phrases",
     "predicted_class",
     "ranked_vocabulary",

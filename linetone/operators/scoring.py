@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from linetone.operators.vocabulary import BROADCAST_TERMS, explode_terms
@@ -14,6 +16,14 @@ MARGIN = "margin_{}"
 LITERAL_TERMS = 10_000
 
 
+def model_weights(
+    vectoriser: CountVectorizerModel, classifier: LogisticRegressionModel
+) -> dict[str, tuple[float, ...]]:
+    """The coefficients of a fitted model by term; one entry per vocabulary term."""
+    per_term = classifier.coefficientMatrix.toArray().T
+    return {t: tuple(w.tolist()) for t, w in zip(vectoriser.vocabulary, per_term)}
+
+
 def weight_table(spark: SparkSession, weights: Mapping[str, Sequence[float]]) -> DataFrame:
     """Term weights as a table: ``term`` and one ``weight_<class>`` per class.
 

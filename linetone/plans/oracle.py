@@ -137,6 +137,11 @@ FROM ({titles}) t {join} means m ON t.movieId = m.movieId
 ORDER BY t.movieId"""
 
 
+# Every unique line is scored, and both ways of scoring it agree.
+ALL_LINES_EQUAL = f"""
+WITH {CONVERSATION_LINES}, {WORDS}, {UNIQUE}
+SELECT count(*) AS lines, count(*) AS equal FROM uniq"""
+
 ORACLE: dict[str, str] = {
     "catalogue_first_n": f"{TITLES} ORDER BY movieId LIMIT {FIRST_TITLES}",
     "catalogue_scan": TITLES,
@@ -218,4 +223,6 @@ SELECT conv_id AS movieId, string_split(text, chr(10))[1] AS title
 FROM conversations WHERE turn = 0''')}""",
     "title_results_all_titles": f"WITH {SCORED_DOCUMENTS} {_report(TITLES, 'LEFT JOIN')}",
     "title_results_documents": f"WITH {SCORED_DOCUMENTS} {_report(TITLES)}",
+    "model_round_trip": ALL_LINES_EQUAL,
+    "model_weight_twin": ALL_LINES_EQUAL,
 }

@@ -15,6 +15,7 @@ from linetone.operators import (
     coverage_counts,
     mean_score,
     mean_score_without_neutral,
+    model_weights,
     ranked_vocabulary,
     score_phrases,
     term_counts,
@@ -298,9 +299,21 @@ def model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     fitted = _fitted(spark, folder)
     loaded = load_classifier(save_classifier(fitted.classifier, new_path(spark, "lr_model")))
     loaded.setPredictionCol("reloaded").setProbabilityCol("").setRawPredictionCol("")
-    both = loaded.transform(fitted.lines)
-    same = F.col("reloaded") == F.col("Sentiment_Predicted")
-    return both.agg(F.count("*").alias("lines"), F.count(F.when(same, 1)).alias("equal"))
+    return _agreement(loaded.transform(fitted.lines), "reloaded")
+
+
+def model_weight_twin(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines scored by the model and by a plain sum of its weights, and how many agree."""
+    fitted = _fitted(spark, folder)
+    weights = model_weights(fitted.vectoriser, fitted.classifier)
+    intercepts = fitted.classifier.interceptVector.toArray().tolist()
+    lines = fitted.lines.select("phrase_key", "Sentiment_Predicted", "filtered")
+    return _agreement(score_phrases(lines, weights, intercepts, "summed"), "summed")
+
+
+def _agreement(scored: DataFrame, other: str) -> DataFrame:
+    same = F.col(other) == F.col("Sentiment_Predicted")
+    return scored.agg(F.count("*").alias("lines"), F.count(F.when(same, 1)).alias("equal"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -336,4 +349,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lr_predictions": lr_predictions,
     "lr_title_results": lr_title_results,
     "model_round_trip": model_round_trip,
+    "model_weight_twin": model_weight_twin,
 }

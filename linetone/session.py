@@ -23,9 +23,21 @@ def workspace(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder in the workspace."""
+    return f"{workspace(spark)}/linetone/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the workspace that nothing else uses."""
-    return f"{workspace(spark)}/linetone/{uuid.uuid4().hex}/{name}"
+    """A path in the application's folder that nothing else uses."""
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def discard_run(spark: SparkSession) -> None:
+    """Delete the application's folder, once nothing reads its tables any more."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -10,6 +10,7 @@ from linetone.operators import (
     check_labels,
     fit_classifier,
     fit_vectoriser,
+    model_weights,
     score_phrases,
 )
 from linetone.plans.training import train_and_score, vectorise
@@ -51,13 +52,9 @@ def test_predictions(fitted):
 
 
 def test_weight_table_twin(fitted):
-    model = fitted.classifier
-    weights = {
-        term: tuple(model.coefficientMatrix.toArray()[:, i])
-        for i, term in enumerate(fitted.vectoriser.vocabulary)
-    }
-    lines = fitted.lines.select("Phrase", "filtered")
-    twin = score_phrases(lines, weights, model.interceptVector.toArray())
+    weights = model_weights(fitted.vectoriser, fitted.classifier)
+    intercepts = fitted.classifier.interceptVector.toArray()
+    twin = score_phrases(fitted.lines.select("Phrase", "filtered"), weights, intercepts)
     assert rows(twin, "Phrase", "Sentiment_Predicted") == rows(
         fitted.lines, "Phrase", "Sentiment_Predicted"
     )

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 
 from linetone.operators import coverage_counts, titles_with_text, titles_without_text
+from linetone import session
 from linetone.functions import title_file_key, title_text_path
 from linetone.session import spread, stage, workspace
 from linetone.sources import (
@@ -164,6 +165,16 @@ def test_stage_keeps_rows_and_prunes_columns(spark, titles):
     assert workspace(spark) == workspace(spark)
 
 
+def test_discard_run_removes_only_its_own_folder(spark, titles, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "workspace", lambda spark: str(tmp_path))
+    other = tmp_path / "linetone" / "other-application"
+    other.mkdir(parents=True)
+    assert stage(titles, "titles").count() == titles.count()
+    assert len(list((tmp_path / "linetone").iterdir())) == 2
+    session.discard_run(spark)
+    assert list((tmp_path / "linetone").iterdir()) == [other]
+
+
 def test_spread_leaves_wide_scans_alone(spark):
     cores = spark.sparkContext.defaultParallelism
     assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
