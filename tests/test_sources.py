@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import random
+
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 
-from linetone.operators import coverage_counts, titles_with_text, titles_without_text
+from linetone.operators import bag_of_words, coverage_counts, titles_with_text, titles_without_text
 from linetone import session
 from linetone.functions import title_file_key, title_text_path
 from linetone.session import spread, stage, workspace
@@ -54,6 +56,31 @@ def test_file_names_of_odd_titles(spark, texts, titles):
     assert found.count() == 3 * len(expected)
 
 
+def test_hot_file_is_split_when_titles_are_not_broadcast(spark, tmp_path):
+    rng = random.Random(3)
+    for i in range(20):
+        lines = [f"{rng.getrandbits(200):x}" for _ in range(40_000 if i == 7 else 1_000)]
+        (tmp_path / f"t{i}.en.srt").write_text("\n".join(lines))
+    titles = spark.createDataFrame([(i, f"t{i}") for i in range(20)], "movieId long, title string")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+        "spark.sql.files.maxPartitionBytes": "512k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        unique = bag_of_words(read_subtitles(spark, str(tmp_path), titles), ["movieId"])
+        per_title = unique.groupBy("movieId").count()
+        assert per_title.agg({"count": "sum"}).first()[0] == 59_000
+        per_title.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(per_title)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_coverage(spark, texts, titles):
     keyed = titles.withColumn("file_key", title_file_key(titles["title"]))
     files = list_text_files(spark, texts)
@@ -74,8 +101,7 @@ def test_repeated_keys_do_not_multiply_titles(spark, titles):
 
 
 def test_listing_reads_no_content(spark, texts):
-    plan = list_text_files(spark, texts)._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<path:string>" in plan
+    assert "ReadSchema: struct<path:string>" in plan_of(list_text_files(spark, texts))
 
 
 def test_text_path(spark, titles):
@@ -160,8 +186,7 @@ def test_labelled_phrases(spark, tmp_path):
 def test_stage_keeps_rows_and_prunes_columns(spark, titles):
     staged = stage(titles, "titles")
     assert rows(staged) == rows(titles)
-    plan = staged.select("movieId")._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<movieId:bigint>" in plan
+    assert "ReadSchema: struct<movieId:bigint>" in plan_of(staged.select("movieId"))
     assert workspace(spark) == workspace(spark)
 
 
