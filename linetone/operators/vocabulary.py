@@ -46,14 +46,30 @@ def ranked_vocabulary(
     """The ``size`` most frequent terms as ``idx`` (from 0), ``term``, ``count``.
 
     Equal counts are ranked by term, so the result does not depend on partitioning.
-    Each task keeps its own top ``size``; the window numbers ``size`` rows at most.
+    The final ranking is one task's work. Terms too rare to be in it are therefore
+    left out before, which leaves ``size`` terms and those as frequent as the last.
     """
     rank = [F.desc("count"), F.asc("term")]
-    top = term_frequencies(corpus, column).orderBy(*rank).limit(size)
+    counts = term_frequencies(corpus, column)
+    rarest = F.coalesce(_count_of_last(counts, size).scalar(), F.lit(0))
+    top = counts.where(F.col("count") >= rarest).orderBy(*rank).limit(size)
     idx = (F.row_number().over(Window.orderBy(*rank)) - 1).cast("int")
     return top.select(idx.alias("idx"), "term", "count")
 
 
+def _count_of_last(counts: DataFrame, size: int) -> DataFrame:
+    """One value: the count of the term ranked ``size``, null if there are fewer.
+
+    Adds up, from the highest count down, how many terms have each count. There are
+    few different counts, as n of them need a corpus of n * n / 2 words. Spark shuffles
+    the terms once for this and for the ranking.
+    """
+    downwards = Window.orderBy(F.desc("count")).rowsBetween(Window.unboundedPreceding, 0)
+    terms = counts.groupBy("count").agg(F.count("*").alias("terms"))
+    ranked = terms.select("count", F.sum("terms").over(downwards).alias("so_far"))
+    return ranked.where(F.col("so_far") >= size).agg(F.max("count"))
+
+
 def fit_vectoriser(
     corpus: DataFrame,
     size: int = VOCAB_SIZE,

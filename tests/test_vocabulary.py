@@ -34,6 +34,15 @@ def test_ties_rank_by_term(phrases, partitions):
     assert fit_vectoriser(corpus, size=2).vocabulary == ["plum", "apple"]
 
 
+@pytest.mark.parametrize("size", range(1, 8))
+def test_cut_off_keeps_every_rank(phrases, size):
+    corpus = add_words(phrases(TIED, 3))
+    whole = [tuple(r) for r in ranked_vocabulary(corpus).orderBy("idx").collect()]
+    assert [tuple(r) for r in ranked_vocabulary(corpus, size).orderBy("idx").collect()] == (
+        whole[:size]
+    )
+
+
 def test_same_counts_as_the_ml_estimator(phrases):
     corpus = add_words(phrases(TIED))
     theirs = CountVectorizer(inputCol="filtered", outputCol="f").fit(corpus).vocabulary
