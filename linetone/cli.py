@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit linetone/cli.py`` or ``python -m linetone.cli``."""
+"""Command line: ``spark-submit run_study.py`` or ``python -m linetone.cli``."""
 
 from __future__ import annotations
 
