@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linetone.llm import mixing, sharding, simhash
+from linetone.llm import chat, decontamination, mixing, sharding, simhash, url_filters
 from linetone.plans.tables import table
 
 
@@ -34,6 +34,22 @@ def op2_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    documents, benchmark = (table(spark, folder, t) for t in ("documents", "benchmark"))
+    return decontamination.leaks(documents, benchmark)
+
+
+def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["conv_id", "turn", "role", "text"]
+    conversations = table(spark, folder, "conversations").select(*columns)
+    messages = chat.conversation_tree(conversations.unionByName(chat.tricky(spark)))
+    return chat.digests(chat.format_branches(messages))
+
+
+def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filters.judge(table(spark, folder, "pages")).drop("trust", "distrust")
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -42,9 +58,14 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
+    "op3_decontamination": op3_decontamination,
+    "op4_chat": op4_chat,
+    "op7_url_filters": op7_url_filters,
     "op10_simhash": op10_simhash,
 }
 
 ORACLE: dict[str, str] = {
     "op2_mixing": mixing.ORACLE_SQL,
+    "op4_chat": chat.ORACLE_SQL,
+    "op7_url_filters": url_filters.ORACLE_SQL,
 }

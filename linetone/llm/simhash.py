@@ -117,7 +117,7 @@ def _links(distinct: DataFrame) -> DataFrame:
     flips += [(1 << i) | (1 << j) for i, j in combinations(range(BITS), 2)]
     flips = [f - (1 << BITS) if f >> (BITS - 1) else f for f in flips]
     near = F.transform(F.lit(np.array(flips, np.int64)), lambda flip: flip.bitwiseXOR(F.col("fp")))
-    reached = crowded.select("fp", F.explode(near).alias("key"))
+    reached = crowded.select("fp", F.explode_outer(near).alias("key"))
     meeting = reached.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
     meeting = meeting.where(F.col("a") < F.col("b")).select("key", "a")
     through = reached.join(meeting, "key").where(F.col("a") < F.col("fp"))
