@@ -154,7 +154,7 @@ fitting AS (
          row_number() OVER (PARTITION BY s.page_id
                             ORDER BY length(r.site || r.start) DESC, length(r.site) DESC) AS nth
   FROM split s LEFT JOIN rules r
-    ON (s.host = r.site OR ends_with(s.host, '.' || r.at)) AND starts_with(s.path, r.start)),
+    ON (s.host = r.site OR ends_with(s.host, '.' || r.site)) AND starts_with(s.path, r.start)),
 ruled AS (SELECT page_id, host, path, rule, verdict FROM fitting WHERE nth = 1),
 hosts AS (
   SELECT host, avg((coalesce(verdict, '') = 'allow')::INT) AS allowed,
