@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linetone.llm import chat, decontamination, mixing, sharding, simhash, url_filters
+from linetone.llm import (
+    chat,
+    decontamination,
+    fingerprints,
+    language,
+    mixing,
+    sharding,
+    simhash,
+    toxicity,
+    url_filters,
+)
 from linetone.plans.tables import table
 
 
@@ -46,10 +56,28 @@ def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_branches(messages))
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = language.identify(documents, documents.where(~language.held_out()))
+    return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judge(table(spark, folder, "pages")).drop("trust", "distrust")
 
 
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, folder, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.fit(documents, labels.where(~toxicity.held_out()))
+    scored = toxicity.score(documents, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -60,7 +88,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
     "op4_chat": op4_chat,
+    "op6_language": op6_language,
     "op7_url_filters": op7_url_filters,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
 }
 
