@@ -14,6 +14,7 @@ from linetone.llm import (
     mixing,
     sharding,
     simhash,
+    substrings,
     toxicity,
     url_filters,
 )
@@ -56,6 +57,10 @@ def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.format_branches(messages))
 
 
+def op5_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, folder, "documents"))
+
+
 def op6_language(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
     found = language.identify(documents, documents.where(~language.held_out()))
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_decontamination": op3_decontamination,
     "op4_chat": op4_chat,
+    "op5_substrings": op5_substrings,
     "op6_language": op6_language,
     "op7_url_filters": op7_url_filters,
     "op8_fingerprints": op8_fingerprints,
