@@ -90,14 +90,14 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
             F.col("total").alias("more"),
             F.col("depth").alias("further"),
         )
-        step = step.join(above, ["tree", "up"], "left").select(
+        on_the_way = step.where("up is not null").join(above, ["tree", "up"]).select(
             "tree",
             "node",
             F.col("next").alias("up"),
-            (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-            (F.col("depth") + F.coalesce("further", F.lit(0))).alias("depth"),
+            (F.col("total") + F.col("more")).alias("total"),
+            (F.col("depth") + F.col("further")).alias("depth"),
         )
-        step = stage(step, "steps")
+        step = stage(on_the_way.unionByName(step.where("up is null")), "steps")
     rooted = step.where("up is null").drop("up")
     inner = thin.select("tree", F.col("parent").alias("node")).where("node is not null").distinct()
     leaves = rooted.join(inner, ["tree", "node"], "left_anti")
