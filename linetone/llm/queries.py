@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from linetone.llm import (
     chat,
     decontamination,
@@ -99,9 +100,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
+    **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
     "op2_mixing": mixing.ORACLE_SQL,
     "op4_chat": chat.ORACLE_SQL,
     "op7_url_filters": url_filters.ORACLE_SQL,
