@@ -143,11 +143,12 @@ def format_branches(messages: DataFrame, top: int = 1, learn: str = "assistant")
 def conversation_tree(conversations: DataFrame) -> DataFrame:
     """``conversations`` (``conv_id``, ``turn``, ``role``, ``text``) as trees without forks.
 
-    A turn replies to the one before it; equal turns are ordered by role, then text.
+    A turn replies to the one before it; equal turns are ordered by role, then text. The tree
+    is named by a struct, as a null in one equals another: rows with a null id are one.
     """
     order = Window.partitionBy("tree").orderBy("turn", "role", "text")
     rows = conversations.select(
-        F.col("conv_id").alias("tree"),
+        F.struct("conv_id").alias("tree"),
         "turn",
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
@@ -183,9 +184,7 @@ def digests(formatted: DataFrame) -> DataFrame:
                 rows, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
             )
 
-    return formatted.select(
-        F.col("tree").alias("conv_id"), read_back("text", "loss").alias("d")
-    ).select("conv_id", "d.*")
+    return formatted.select("tree.*", read_back("text", "loss").alias("d")).select("conv_id", "d.*")
 
 
 def _sha256(text: str) -> str:
