@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
@@ -91,47 +92,57 @@ def _anchors(content: np.ndarray) -> tuple[np.ndarray, ...]:
     return grams[at], context, first, last - first + 1
 
 
-def _pieces(text: str) -> Iterator[tuple[int, np.ndarray]]:
-    """Parts of the bytes with all strings in one part each."""
-    content = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    for start in range(0, len(content) - LENGTH + 1, PIECE):
-        yield start, content[start : start + PIECE + LENGTH - 1]
+def _contents(texts: pa.Array) -> Iterator[np.ndarray]:
+    """The UTF-8 bytes of each text, as they lie in the batch. No text is null."""
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, width)[texts.offset : texts.offset + len(texts) + 1]
+    content = np.frombuffer(data or b"", np.uint8)
+    for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+        yield content[start:end]
 
 
-def _bucket_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    shift = np.uint64(64 - COUNTED_BITS)
-    for batch in batches:
-        found = [_anchors(piece)[0] for text in batch["text"] for _, piece in _pieces(text)]
-        if found:
-            yield pd.DataFrame({"key": (np.concatenate(found) >> shift).view(np.int64)})
+def _pieces(content: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Parts of a text with all strings in one part each."""
+    for start in range(0, len(content) - LENGTH + 1, PIECE):
+        yield start, content[start : start + PIECE + LENGTH - 1]
 
 
 def _counted(bucket: np.ndarray) -> np.ndarray:
     return bucket >> np.uint64(64 - COUNTED_BITS)
 
 
+def _bucket_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = [
+            _counted(_anchors(piece)[0])
+            for content in _contents(batch["text"])
+            for _, piece in _pieces(content)
+        ]
+        if found:
+            keys = np.concatenate(found).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
+
+
 def _anchor_rows(repeated: Broadcast):
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
-            for doc, text in zip(batch["doc"], batch["text"], strict=True):
-                for start, piece in _pieces(text):
+            docs = batch["doc"].to_numpy(zero_copy_only=False)
+            for doc, content in zip(docs, _contents(batch["text"]), strict=True):
+                for start, piece in _pieces(content):
                     bucket, context, first, starts = _anchors(piece)
                     kept = passes(repeated.value, _counted(bucket))
-                    n = int(kept.sum())
+                    doc_column = np.full(int(kept.sum()), doc, np.int64)
                     made.append(
-                        (np.full(n, doc), bucket[kept], context[kept], first[kept] + start, starts[kept])
+                        (bucket[kept], context[kept], doc_column, first[kept] + start, starts[kept])
                     )
             if made:
-                doc, bucket, context, first, starts = map(np.concatenate, zip(*made, strict=True))
-                yield pd.DataFrame(
-                    {
-                        "bucket": bucket.view(np.int64),
-                        "context": context.view(np.int64),
-                        "doc": doc.astype(np.int64),
-                        "start": first.astype(np.int64),
-                        "n": starts.astype(np.int32),
-                    }
+                columns = [np.concatenate(c) for c in zip(*made, strict=True)]
+                columns = [c.view(np.int64) if c.dtype == np.uint64 else c for c in columns]
+                yield pa.RecordBatch.from_arrays(
+                    [*map(pa.array, columns[:4]), pa.array(columns[4].astype(np.int32))],
+                    ["bucket", "context", "doc", "start", "n"],
                 )
 
     return rows
@@ -176,10 +187,21 @@ def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 PLACE = "doc long, start long"
 
 
+# Places are compared as one number, which aggregates by hash where a struct would sort. A
+# start fits 31 bits, as a string does in memory.
+_STARTS = 1 << 31
+
+
 def _firsts(rows: DataFrame) -> DataFrame:
-    """The first place of each bucket and context; partial sums keep frequent ones small."""
-    place = F.min(F.struct("doc", "start", *(["n"] if "n" in rows.columns else [])))
-    return rows.groupBy("bucket", "context").agg(place.alias("first")).select("bucket", "first.*")
+    """The first place of each bucket and context; partial minima keep frequent ones small."""
+    place = F.col("doc").cast("decimal(20,0)") * F.lit(_STARTS) + F.col("start")
+    place = F.min(place.cast("decimal(38,0)")).alias("place")
+    # Equal contexts have as many strings.
+    n = [F.min("n").alias("n")] if "n" in rows.columns else []
+    start = F.pmod("place", F.lit(_STARTS).cast("decimal(38,0)"))
+    found = rows.groupBy("bucket", "context").agg(place, *n).withColumn("start", start)
+    doc = ((F.col("place") - F.col("start")) / F.lit(_STARTS)).cast("long").alias("doc")
+    return found.select("bucket", doc, F.col("start").cast("long").alias("start"), *(["n"] if n else []))
 
 
 def _later(rows: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -201,12 +223,10 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     such anchors.
     """
     long = texts.where(F.octet_length("text") >= LENGTH)
-    keys = long.select("text").mapInPandas(_bucket_counts, "key long")
+    keys = long.select("text").mapInArrow(_bucket_keys, "key long")
     keys = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     repeated = bitmap(keys, "key", ANCHOR_BITS)
-    rows = long.mapInPandas(
-        _anchor_rows(repeated), f"bucket long, context long, {PLACE}, n int"
-    )
+    rows = long.mapInArrow(_anchor_rows(repeated), f"bucket long, context long, {PLACE}, n int")
     firsts = stage(_firsts(rows), "firsts")
     whole = _later(rows.select("doc", "start", "n"), firsts)
     whole = whole.select("doc", "start", (F.col("start") + F.col("n") - 1 + LENGTH).alias("end"))
@@ -241,13 +261,15 @@ def in_bitmap(keys: DataFrame, key: str):
 def _packed(texts: DataFrame, wanted) -> DataFrame:
     """``doc`` and ``body``, the compressed text, of the wanted documents."""
 
-    @F.pandas_udf("binary")
-    def pack(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            yield batch.map(lambda t: packer.compress(t.encode("utf-8", "surrogatepass")))
+            bodies = [packer.compress(content) for content in _contents(batch["text"])]
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc"], pa.array(bodies, pa.binary())], ["doc", "body"]
+            )
 
-    return texts.where(wanted(F.col("doc"))).select("doc", pack("text").alias("body"))
+    return texts.where(wanted(F.col("doc"))).mapInArrow(pack, "doc long, body binary")
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
