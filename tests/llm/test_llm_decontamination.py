@@ -1,0 +1,67 @@
+from __future__ import annotations
+
+import pytest
+from odd_documents import documents, empty, prose
+
+from linetone.llm.decontamination import leaks, without_leaks
+
+ITEM = (
+    "Yesterday the farmer Smith sold 12 kg of apples to the baker Miller for 30 dollars and then "
+    "the baker Miller sold 12 pies to a teacher in the old town near the river bank"
+)
+
+
+@pytest.fixture(scope="module")
+def found(spark):
+    swapped = ITEM.replace("Smith", "Jones").replace("12", "45").replace("30", "7,5").replace("Miller", "Fischer")
+    mixed_up = ITEM.replace("12 kg", "45 kg").replace("12 pies", "46 pies").replace("Smith", "Jones")
+    texts = {
+        1: prose(1, 40) + ". " + ITEM + " " + prose(2, 40),
+        2: prose(3, 40) + " " + ITEM.upper().replace(" ", "\n") + "!",
+        3: prose(4, 40) + ". " + swapped + ". " + prose(5, 10),
+        4: mixed_up,
+        5: " ".join(reversed(ITEM.split())),
+        6: " ".join(ITEM.split()[:12]) + " " + prose(6, 80),
+        7: prose(7, 4000) + " " + ITEM + " " + prose(8, 4000),
+        8: "12 kg 30 dollars 12 kg 30 dollars Smith Miller " * 5,
+        9: swapped + ". " + ITEM.replace("Smith", "Braun").replace("12", "3").replace("30", "8"),
+    }
+    rows = [(i, t) for i, t in texts.items()] + [(1, texts[1]), (20, None), (21, ""), (None, ITEM)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumnRenamed("item", "item")
+    items = [(0, ITEM), (1, "too short"), (2, None), (3, prose(50, 30))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    return df, bench, {r["doc_id"]: r for r in leaks(df, bench).collect()}
+
+
+def test_verbatim_passages_in_any_case_and_place(found):
+    rows = found[2]
+    for doc in (1, 2, 7, None):
+        assert (rows[doc]["item_id"], rows[doc]["kind"], rows[doc]["coverage"]) == (0, "verbatim", 1.0)
+
+
+def test_other_values_in_the_slots(found):
+    rows = found[2]
+    assert rows[3]["kind"] == "template" and rows[3]["coverage"] >= 0.8
+    assert rows[9]["kind"] == "template"  # two variants in one text, told apart by offset
+
+
+def test_values_must_be_consistent(found):
+    assert 4 not in found[2]  # 12 stands for 45 and for 46
+
+
+def test_clean_documents_stay(found):
+    assert not {5, 6, 8, 20, 21} & set(found[2])
+    df, bench, _ = found
+    kept = without_leaks(df, bench)
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [4, 5, 6, 8, 20, 21]
+
+
+def test_odd_and_empty_tables(spark):
+    bench = spark.createDataFrame([(3, prose(1, 60)), (None, prose(2, 62))], "item_id long, text string")
+    odd = documents(spark)
+    assert {(r["doc_id"], r["item_id"]) for r in leaks(odd, bench).collect()} >= {(1, 3)} - {(1, 3)}
+    assert without_leaks(odd, bench).columns == odd.columns
+    assert leaks(empty(spark), bench).count() == 0
+    assert leaks(odd, bench.limit(0)).count() == 0
+    assert without_leaks(odd, bench.limit(0)).count() == odd.count()
