@@ -44,12 +44,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> SentimentStudy:
         limit_training_set=args.limit_training_set,
     )
     if study.n_movies_without_subs:
-        print(f"Subtitles were not found for {study.n_movies_without_subs} movie(s).")
-    print(f"Continuing with {study.n_movies} movies")
+        print(f"titles without a text file, left out: {study.n_movies_without_subs}")
+    print(f"titles in the study: {study.n_movies}")
 
     log.info("fitting the vocabulary")
     study.perform_count_vec()
-    log.debug("%d terms", len(study.vectoriser.vocabulary))
+    log.debug(
+        "%d terms, %d left out", len(study.vectoriser.vocabulary), study.terms_left_out
+    )
     print("Training set:")
     study.df_train.show(SAMPLE_ROWS)
     print("Testing set:")
@@ -74,10 +76,12 @@ def main(argv: Sequence[str] | None = None) -> int:
     try:
         run(spark, args)
     finally:
-        discard_run(spark)
-        log.removeHandler(handler)
-        handler.close()
-        spark.stop()
+        try:
+            discard_run(spark)
+        finally:
+            log.removeHandler(handler)
+            handler.close()
+            spark.stop()
     return 0
 
 

@@ -1,10 +1,15 @@
 from linetone.operators.bag_of_words import add_words, bag_of_words, null_phrases, unique_phrases
 from linetone.operators.classifier import check_labels, fit_classifier
 from linetone.operators.coverage import coverage_counts, titles_with_text, titles_without_text
-from linetone.operators.report import mean_score, mean_score_without_neutral, title_report
+from linetone.operators.ordered import running_totals
+from linetone.operators.report import (
+    genre_report,
+    mean_score,
+    mean_score_without_neutral,
+    title_report,
+)
 from linetone.operators.scoring import (
     margins,
-    model_weights,
     predicted_class,
     score_phrases,
     weight_table,
@@ -17,6 +22,7 @@ from linetone.operators.vocabulary import (
     ranked_vocabulary,
     term_counts,
     term_frequencies,
+    word_runs,
 )
 from linetone.operators.words import title_text, word_counts, word_stream
 
@@ -30,13 +36,14 @@ __all__ = [
     "explode_terms",
     "fit_classifier",
     "fit_vectoriser",
+    "genre_report",
     "margins",
     "mean_score",
     "mean_score_without_neutral",
-    "model_weights",
     "null_phrases",
     "predicted_class",
     "ranked_vocabulary",
+    "running_totals",
     "score_phrases",
     "term_counts",
     "term_frequencies",
@@ -47,5 +54,6 @@ __all__ = [
     "unique_phrases",
     "weight_table",
     "word_counts",
+    "word_runs",
     "word_stream",
 ]

@@ -21,6 +21,21 @@ def mean_score_without_neutral(
     return rest.groupBy("movieId").agg(F.avg(prediction).alias("score_without_neutral"))
 
 
+def genre_report(
+    titles: DataFrame, scored: DataFrame, prediction: str = "Sentiment_Predicted"
+) -> DataFrame:
+    """Mean class of all phrases of the titles of a genre, as ``genre``, ``score``.
+
+    ``titles`` has ``movieId`` and ``genres``, names with a bar between. A title counts for
+    each of its genres. Sums per title are added up, so phrases are not multiplied.
+    """
+    value = F.col(prediction)
+    sums = scored.groupBy("movieId").agg(F.sum(value).alias("total"), F.count(value).alias("n"))
+    genres = titles.select("movieId", F.explode_outer(F.split("genres", r"\|")).alias("genre"))
+    per_genre = genres.where(F.col("genre").isNotNull()).join(sums, "movieId").groupBy("genre")
+    return per_genre.agg((F.sum("total") / F.sum("n")).alias("score"))
+
+
 def title_report(
     titles: DataFrame,
     scored: DataFrame,

@@ -4,38 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from linetone.operators.vocabulary import BROADCAST_TERMS, explode_terms
+from linetone.operators.vocabulary import word_runs
+from linetone.session import stage
 
 MARGIN = "margin_{}"
 
-# Up to this many weighted words are listed in the plan itself.
-LITERAL_TERMS = 10_000
-
-
-def model_weights(
-    vectoriser: CountVectorizerModel, classifier: LogisticRegressionModel
-) -> dict[str, tuple[float, ...]]:
-    """The coefficients of a fitted model by term; one entry per vocabulary term."""
-    per_term = classifier.coefficientMatrix.toArray().T
-    return {t: tuple(w.tolist()) for t, w in zip(vectoriser.vocabulary, per_term)}
-
 
 def weight_table(spark: SparkSession, weights: Mapping[str, Sequence[float]]) -> DataFrame:
     """Term weights as a table: ``term`` and one ``weight_<class>`` per class.
 
-    Spark cannot see the size of a table made on the driver and would shuffle every
-    word to meet it, so up to ``BROADCAST_TERMS`` rows carry a broadcast hint. More
-    are joined by term, where the adaptive skew join splits the common words.
+    Written out, so that Spark knows its bytes and joins it accordingly.
     """
     classes = len(next(iter(weights.values())))
     columns = ", ".join(f"weight_{k} double" for k in range(classes))
     rows = [(term, *map(float, values)) for term, values in weights.items()]
-    weighted = spark.createDataFrame(rows, f"term string, {columns}")
-    return F.broadcast(weighted) if len(rows) <= BROADCAST_TERMS else weighted
+    return stage(spark.createDataFrame(rows, f"term string, {columns}"), "weights")
 
 
 def margins(
@@ -46,22 +31,27 @@ def margins(
 ) -> DataFrame:
     """Replace ``column`` by ``margin_<class>``: intercept plus the weights of its words.
 
-    The other columns must identify a row. Grouping by ``phrase_key`` among them
-    reuses the partitioning of the de-duplication, so nothing is shuffled. Words
-    without a weight add nothing and are dropped before there is a row per word,
-    unless the list of weights is too long to be part of the plan.
+    One plan for any number of weights: a row for each distinct word of a phrase meets the
+    weight table, and the products are added up by phrase. A phrase is named by a digest
+    of its words, whose text stays behind, and by its other columns; so the work per word
+    does not depend on the length of a line. ``phrase_key`` is not carried along.
     """
-    others = [c for c in phrases.columns if c != column]
-    if len(weights) <= LITERAL_TERMS:
-        weighted = F.filter(column, lambda w: w.isin(sorted(weights)))
-        phrases = phrases.select(*others, weighted.alias(column))
-    terms = explode_terms(phrases, column)
+    others = [c for c in phrases.columns if c not in (column, "phrase_key")]
+    named = phrases.select(
+        *others, F.unhex(F.md5(F.array_join(column, " "))).alias("_phrase"), column
+    )
+    # A phrase without a word has a row, too, of the empty word.
+    filled = F.when(F.size(column) > 0, F.col(column)).otherwise(F.array(F.lit("")))
+    runs = word_runs(named.withColumn(column, filled), [*others, "_phrase"], column)
     sums = [
-        (F.coalesce(F.sum(f"weight_{k}"), F.lit(0.0)) + F.lit(float(b))).alias(MARGIN.format(k))
+        (F.coalesce(F.sum(F.col("n") * F.col(f"weight_{k}")), F.lit(0.0)) + F.lit(float(b))).alias(
+            MARGIN.format(k)
+        )
         for k, b in enumerate(intercepts)
     ]
     table = weight_table(phrases.sparkSession, weights)
-    return terms.join(table, "term", "left").groupBy(*others).agg(*sums)
+    scored = runs.join(table, "term", "left").groupBy(*others, "_phrase").agg(*sums)
+    return scored.drop("_phrase")
 
 
 def predicted_class(classes: int) -> Column:

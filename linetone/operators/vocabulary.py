@@ -3,18 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
+from linetone.operators.ordered import running_totals
 from linetone.session import new_path
 
 # Fixed value: the default vocabulary size of Spark's count vectoriser.
 VOCAB_SIZE = 262_144
 
-# A vocabulary has at most ``size`` rows of one word and two numbers. Up to this
-# many rows (a few tens of MB) it is sent to every task; beyond, Spark joins it as
-# any other table.
-BROADCAST_TERMS = 1_000_000
-
 
 def combined_corpus(*parts: DataFrame, column: str = "filtered") -> DataFrame:
     """All ``column`` values of all parts, repeats kept."""
@@ -41,33 +37,20 @@ def term_frequencies(corpus: DataFrame, column: str = "filtered") -> DataFrame:
 
 
 def ranked_vocabulary(
-    corpus: DataFrame, size: int = VOCAB_SIZE, column: str = "filtered"
+    corpus: DataFrame, size: int | None = None, column: str = "filtered"
 ) -> DataFrame:
-    """The ``size`` most frequent terms as ``idx`` (from 0), ``term``, ``count``.
-
-    Equal counts are ranked by term, so the result does not depend on partitioning.
-    The final ranking is one task's work. Terms too rare to be in it are therefore
-    left out before, which leaves ``size`` terms and those as frequent as the last.
-    """
-    rank = [F.desc("count"), F.asc("term")]
-    counts = term_frequencies(corpus, column)
-    rarest = F.coalesce(_count_of_last(counts, size).scalar(), F.lit(0))
-    top = counts.where(F.col("count") >= rarest).orderBy(*rank).limit(size)
-    idx = (F.row_number().over(Window.orderBy(*rank)) - 1).cast("int")
-    return top.select(idx.alias("idx"), "term", "count")
+    """All terms, or the ``size`` most frequent, as ``idx`` (from 0), ``term``, ``count``.
 
-
-def _count_of_last(counts: DataFrame, size: int) -> DataFrame:
-    """One value: the count of the term ranked ``size``, null if there are fewer.
-
-    Adds up, from the highest count down, how many terms have each count. There are
-    few different counts, as n of them need a corpus of n * n / 2 words. Spark shuffles
-    the terms once for this and for the ranking.
+    Equal counts are ranked by term, so the result does not depend on partitioning. The
+    terms are sorted over all tasks and numbered by the totals of the partitions before:
+    no task sees more than a partition, however many terms are equally rare.
     """
-    downwards = Window.orderBy(F.desc("count")).rowsBetween(Window.unboundedPreceding, 0)
-    terms = counts.groupBy("count").agg(F.count("*").alias("terms"))
-    ranked = terms.select("count", F.sum("terms").over(downwards).alias("so_far"))
-    return ranked.where(F.col("so_far") >= size).agg(F.max("count"))
+    order = [F.desc("count"), F.asc("term")]
+    one = F.lit(1).cast("long")
+    ranked = running_totals(term_frequencies(corpus, column), order, {"rank": one})
+    if size is not None:
+        ranked = ranked.where(F.col("rank") <= size)
+    return ranked.select((F.col("rank") - 1).cast("int").alias("idx"), "term", "count")
 
 
 def fit_vectoriser(
@@ -90,29 +73,31 @@ def fit_vectoriser(
     in_order = F.array_sort(F.collect_list(F.struct("idx", "term")))
     terms = ranked_vocabulary(corpus, size, column).agg(in_order["term"].alias("vocabulary"))
     terms.write.mode("overwrite").parquet(f"{path}/data")
-    if not spark.read.parquet(f"{path}/data").select(F.size("vocabulary")).first()[0]:
+    ranked = spark.read.parquet(f"{path}/data").select(F.size("vocabulary")).first()[0]
+    if not ranked:
         raise ValueError("the corpus holds no term to build a vocabulary from")
-    return CountVectorizerModel.load(path)
+    model = CountVectorizerModel.load(path)
+    if len(model.vocabulary) != ranked:
+        raise RuntimeError(f"{len(model.vocabulary)} terms were loaded, {ranked} ranked")
+    return model
 
 
 def term_counts(
-    rows: DataFrame, vocabulary: DataFrame, size: int = VOCAB_SIZE, column: str = "filtered"
+    rows: DataFrame, vocabulary: DataFrame, column: str = "filtered"
 ) -> DataFrame:
     """Long form of the count vectors: the other columns of ``rows``, ``idx``, ``n``.
 
-    A row holds all its words, so it is counted where it lies: no word is shuffled or
-    grouped. Words outside the vocabulary are ignored.
+    A row holds all its words, so it is counted where it lies and gives a row per distinct
+    word. How these meet the vocabulary Spark decides by its bytes. Words outside the
+    vocabulary are ignored. ``phrase_key`` is not carried along.
     """
-    others = [c for c in rows.columns if c != column]
+    others = [c for c in rows.columns if c not in (column, "phrase_key")]
     index = vocabulary.select("term", "idx")
-    if size <= BROADCAST_TERMS:
-        index = F.broadcast(index)
-    runs = _word_runs(rows, others, column)
-    return runs.join(index, "term").select(*others, "idx", "n")
+    return word_runs(rows, others, column).join(index, "term").select(*others, "idx", "n")
 
 
-def _word_runs(rows: DataFrame, others: list[str], column: str) -> DataFrame:
-    """Distinct words ``term`` of each row with their number ``n``.
+def word_runs(rows: DataFrame, others: list[str], column: str) -> DataFrame:
+    """Distinct words ``term`` of each row with their number ``n``; a row without words has none.
 
     Sorts the list and measures the runs of equal words. The list and the run starts
     are columns of their own, so that neither is worked out again for every word.

@@ -6,14 +6,21 @@ where it projects, so that agreement says something.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from linetone.functions import ENGLISH
-from linetone.operators import VOCAB_SIZE
 from linetone.plans.registry import (
+    CATALOGUE_FAULTS,
+    FILES,
     FIRST_PHRASES,
     FIRST_TITLES,
     INTERCEPTS,
+    PHRASE_FAULTS,
+    SHARING,
+    TOP_TERMS,
     TURNS_PER_PART,
     WEIGHTS,
+    fault_pieces,
 )
 
 
@@ -85,10 +92,8 @@ VOCABULARY = f"""
 frequency AS (
   SELECT term, count(*) AS n FROM (SELECT unnest(filtered) AS term FROM corpus) GROUP BY term),
 vocabulary AS (
-  SELECT * FROM (
-    SELECT CAST(row_number() OVER (ORDER BY n DESC, term) - 1 AS INTEGER) AS idx,
-           term, n AS "count" FROM frequency)
-  WHERE idx < {VOCAB_SIZE})"""
+  SELECT CAST(row_number() OVER (ORDER BY n DESC, term) - 1 AS INTEGER) AS idx,
+         term, n AS "count" FROM frequency)"""
 
 _WEIGHT_ROWS = ", ".join(
     f"({_quoted(term)}, {k}, CAST({w} AS DOUBLE))"
@@ -142,6 +147,22 @@ ALL_LINES_EQUAL = f"""
 WITH {CONVERSATION_LINES}, {WORDS}, {UNIQUE}
 SELECT count(*) AS lines, count(*) AS equal FROM uniq"""
 
+
+def _rejects(faults: Sequence[str], cells: dict[str, str]) -> str:
+    """The broken records, put together by rule."""
+    cases = " ".join(
+        f"WHEN {k} THEN "
+        + " || ".join(
+            f"CAST({cells[p]} AS VARCHAR)" if p in cells else _quoted(p)
+            for p in fault_pieces(fault)
+        )
+        for k, fault in enumerate(faults)
+    )
+    return f"""
+SELECT CASE doc_id % {2 * len(faults)} {cases} END AS rejected_record
+FROM documents WHERE doc_id % {2 * len(faults)} < {len(faults)}"""
+
+
 ORACLE: dict[str, str] = {
     "catalogue_first_n": f"{TITLES} ORDER BY movieId LIMIT {FIRST_TITLES}",
     "catalogue_scan": TITLES,
@@ -158,8 +179,27 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = t.movieId)""",
 SELECT count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM labels)) AS found,
        count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS missing
 FROM documents""",
+    "catalogue_rejects": _rejects(
+        CATALOGUE_FAULTS,
+        {"id": "doc_id", "title": "source", "genres": "lang"},
+    ),
+    "phrase_rejects": _rejects(
+        PHRASE_FAULTS,
+        {"id": "doc_id", "sentence": "n_chars", "phrase": "source", "label": "doc_id % 5"},
+    ),
     "subtitle_scan": f"""
-WITH {CONVERSATION_LINES} SELECT Phrase, count(*) AS n FROM lines GROUP BY Phrase""",
+WITH {CONVERSATION_LINES}
+SELECT movieId % {FILES} AS movieId, Phrase, count(*) AS n FROM lines GROUP BY ALL
+UNION ALL
+SELECT {SHARING}, Phrase, count(*) FROM lines WHERE movieId % {FILES} = 0 GROUP BY ALL""",
+    "subtitle_whole": f"""
+WITH {CONVERSATION_LINES},
+files AS (
+  SELECT movieId % {FILES} AS movieId, CAST(sum(length(Phrase) + 1) AS BIGINT) AS n_chars,
+         count(*) AS n_lines
+  FROM lines GROUP BY ALL)
+SELECT * FROM files
+UNION ALL SELECT {SHARING}, n_chars, n_lines FROM files WHERE movieId = 0""",
     "phrase_lines": f"WITH {CONVERSATION_LINES} SELECT * FROM lines",
     "tokens": f"""
 WITH {CONVERSATION_LINES}, {WORDS}
@@ -193,6 +233,7 @@ SELECT PhraseId, Sentiment, array_to_string(filtered, ' ') AS filtered FROM trai
     "combined_corpus": f"""
 WITH {CORPUS} SELECT array_to_string(filtered, ' ') AS filtered FROM corpus""",
     "vocabulary": f"WITH {VOCABULARY} SELECT * FROM vocabulary",
+    "vocabulary_top_n": f"WITH {VOCABULARY} SELECT * FROM vocabulary WHERE idx < {TOP_TERMS}",
     "term_counts": f"""
 WITH {VOCABULARY}
 SELECT movieId, turn, line_no, idx, count(*) AS n
@@ -224,5 +265,21 @@ FROM conversations WHERE turn = 0''')}""",
     "title_results_all_titles": f"WITH {SCORED_DOCUMENTS} {_report(TITLES, 'LEFT JOIN')}",
     "title_results_documents": f"WITH {SCORED_DOCUMENTS} {_report(TITLES)}",
     "model_round_trip": ALL_LINES_EQUAL,
-    "model_weight_twin": ALL_LINES_EQUAL,
+    "genre_results": f"""
+WITH {SCORED_DOCUMENTS},
+genres AS (
+  SELECT doc_id AS movieId, unnest(string_split(concat_ws('|', lang, source), '|')) AS genre
+  FROM documents)
+SELECT genre, avg(Sentiment_Predicted) AS score
+FROM genres JOIN scored USING (movieId) GROUP BY genre""",
+    "lr_training_predictions": f"WITH {UNIQUE_LABELLED} SELECT PhraseId, Sentiment FROM train",
+    "lr_class_counts": f"""
+WITH {LABELLED},
+known AS (SELECT lang, Sentiment FROM labelled JOIN documents ON doc_id = PhraseId),
+cells AS (
+  SELECT lang, class FROM (SELECT DISTINCT lang FROM known),
+                          (SELECT unnest(range(max(Sentiment) + 1)) AS class FROM known))
+SELECT c.lang, CAST(c.class AS INTEGER) AS class, CAST(count(k.lang) AS DOUBLE) AS n
+FROM cells c LEFT JOIN known k ON c.lang = k.lang AND c.class = k.Sentiment
+GROUP BY c.lang, c.class""",
 }

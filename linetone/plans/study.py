@@ -13,8 +13,10 @@ from linetone.functions import title_file_key, title_text_path, words
 from linetone.operators import (
     VOCAB_SIZE,
     bag_of_words,
+    combined_corpus,
     coverage_counts,
     fit_classifier,
+    term_frequencies,
     title_report,
     titles_with_text,
     titles_without_text,
@@ -135,7 +137,11 @@ class SentimentStudy:
     @cached_property
     def df_test(self) -> DataFrame:
         """Unique lines of the titles with ``words_regex`` and ``filtered``."""
-        lines = read_subtitles(self.spark, self.srt_dir, self.df_movies)
+        names = None
+        if self.limit_movies is not None:  # the limit bounds the list
+            found = self.df_movies.select(title_file_key(F.col("title")).alias("name"))
+            names = [row["name"] for row in found.distinct().collect()]
+        lines = read_subtitles(self.spark, self.srt_dir, self.df_movies, names=names)
         unique = bag_of_words(
             lines,
             order=["movieId", "Phrase"],
@@ -146,8 +152,15 @@ class SentimentStudy:
 
     # Model
 
+    @property
+    def terms_left_out(self) -> int:
+        """Number of terms beyond ``vocab_size``, which have no feature."""
+        parts = [self.df_train, self.df_test] if self.vocabulary_from == "both" else [self.df_train]
+        terms = term_frequencies(combined_corpus(*parts)).count()
+        return max(0, terms - self.vocab_size)
+
     def perform_count_vec(self) -> CountVectorizerModel:
-        """Add ``features`` to both sets."""
+        """Add ``features`` to both sets; ``terms_left_out`` tells what the size cuts off."""
         self.vectoriser, self.df_train, self.df_test = vectorise(
             self.df_train.drop("features"),
             self.df_test.drop("features", *_PREDICTION_COLUMNS),

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linetone.session import spread
 from linetone.sources import split_lines
 
 
@@ -19,7 +18,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def conversation_lines(spark: SparkSession, folder: str) -> DataFrame:
     """``movieId``, ``turn``, ``line_no``, ``Phrase``."""
     turns = table(spark, folder, "conversations")
-    return split_lines(spread(turns.select(F.col("conv_id").alias("movieId"), "turn", "text")))
+    return split_lines(turns.select(F.col("conv_id").alias("movieId"), "turn", "text"))
 
 
 def conversation_titles(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,7 +32,7 @@ def conversation_titles(spark: SparkSession, folder: str) -> DataFrame:
 def document_lines(spark: SparkSession, folder: str) -> DataFrame:
     """``movieId``, ``line_no``, ``Phrase``."""
     documents = table(spark, folder, "documents")
-    return split_lines(spread(documents.select(F.col("doc_id").alias("movieId"), "text")))
+    return split_lines(documents.select(F.col("doc_id").alias("movieId"), "text"))
 
 
 def document_titles(spark: SparkSession, folder: str) -> DataFrame:
@@ -59,4 +58,4 @@ def labelled_phrases(spark: SparkSession, folder: str) -> DataFrame:
     texts = table(spark, folder, "documents").select(
         F.col("doc_id").alias("PhraseId"), F.col("text").alias("Phrase")
     )
-    return spread(texts).join(labels, "PhraseId")
+    return texts.join(labels, "PhraseId")

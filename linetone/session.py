@@ -1,7 +1,9 @@
-"""Session helpers: where intermediate tables go, and small-input spreading."""
+"""Session helpers: where intermediate tables go."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -11,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 def workspace(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it gets a temporary folder.
+    Only a local session may go without the setting; it gets a temporary folder, which
+    goes when the process ends.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
@@ -19,7 +22,9 @@ def workspace(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="linetone-"))
+    own = tempfile.mkdtemp(prefix="linetone-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    context.setCheckpointDir(own)
     return context.getCheckpointDir()
 
 
@@ -51,13 +56,3 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Redistribute a scan that has fewer splits than the session has cores.
-
-    A small file is one split, which would leave the tokeniser on one core. An input
-    of any size has more splits than cores and passes through untouched.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linetone.functions import path_file_key, scanned_file_key, title_file_key
@@ -15,19 +17,26 @@ def list_text_files(spark: SparkSession, folder: str, suffix: str = TEXT_SUFFIX)
 
 
 def read_line_files(
-    spark: SparkSession, folder: str, suffix: str = TEXT_SUFFIX, whole: bool = False
+    spark: SparkSession,
+    folder: str,
+    suffix: str = TEXT_SUFFIX,
+    whole: bool = False,
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
     """``file_key`` and ``Phrase``: every physical line of every file, or with
     ``whole`` every file as one row.
 
+    ``names``, a short list of file names, limits the scan to these files: Spark tests
+    the names when it lists the folder and opens no other.
+
     Spark packs small files into splits and cuts large ones, so neither many short
     texts nor one huge text decides the number of tasks.
     """
     texts = spark.read.text(folder, wholetext=whole, pathGlobFilter=f"*{suffix}")
-    return texts.select(
-        scanned_file_key(F.col("_metadata.file_name")).alias("file_key"),
-        F.col("value").alias("Phrase"),
-    )
+    name = scanned_file_key(F.col("_metadata.file_name"))
+    if names is not None:
+        texts = texts.where(name.isin(list(names)))
+    return texts.select(name.alias("file_key"), F.col("value").alias("Phrase"))
 
 
 def read_subtitles(
@@ -36,15 +45,18 @@ def read_subtitles(
     titles: DataFrame,
     suffix: str = TEXT_SUFFIX,
     whole: bool = False,
+    names: Sequence[str] | None = None,
 ) -> DataFrame:
     """``movieId`` and ``Phrase`` for the texts of ``titles``, whose files are in ``folder``.
 
+    ``names`` limits the files that are read (see :func:`read_line_files`).
+
     A file that two titles share counts for both. The titles are broadcast when they
     are below Spark's threshold. Above it the join shuffles, and the adaptive
     skew join splits a file that holds an outsized part of the lines.
     """
     keys = titles.select("movieId", title_file_key(F.col("title"), suffix).alias("file_key"))
-    lines = read_line_files(spark, folder, suffix, whole)
+    lines = read_line_files(spark, folder, suffix, whole, names)
     return lines.join(keys, "file_key").select("movieId", "Phrase")
 
 

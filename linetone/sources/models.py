@@ -7,7 +7,7 @@ from pyspark.ml.classification import LogisticRegressionModel
 
 def model_path(folder: str, titles: int | None, phrases: int) -> str:
     """Path that names the sizes of the run: title limit and training phrases."""
-    return f"{folder.rstrip('/')}/lr_model_test_{titles}_train_{phrases}"
+    return f"{folder.rstrip('/')}/phrase_classifier-{titles or "all"}-titles-{phrases}-phrases"
 
 
 def save_classifier(model: LogisticRegressionModel, path: str) -> str:

@@ -14,9 +14,9 @@ def read_records(
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows, rejects)`` of a delimited file with a header.
 
-    A row is rejected when a ``required`` column is empty or does not parse. Rejects
-    carry the raw record. Rows and rejects are two filters over one scan definition,
-    so nothing is lost, and the rows prune the columns they do not need.
+    A record is rejected when it has a cell too many or too few, a quote that stays open,
+    a cell that does not parse, or an empty ``required`` column. Rejects carry the raw
+    record. Rows and rejects are two filters over one scan definition, so nothing is lost.
     """
     full = spark.read.csv(
         path,
@@ -26,7 +26,11 @@ def read_records(
         columnNameOfCorruptRecord=RAW,
         **options,
     )
-    complete = F.lit(True)
+    columns = [c for c in full.columns if c != RAW]
+    # Spark checks the cells of the columns that a query reads. The count of filled cells
+    # reads them all, so that the verdict on a record is the same for every query.
+    filled = sum(F.col(c).isNotNull().cast("int") for c in columns)
+    complete = F.col(RAW).isNull() & (filled <= len(columns))
     for column in required:
         complete = complete & F.col(column).isNotNull()
     return full.where(complete).drop(RAW), full.where(~complete)

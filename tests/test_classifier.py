@@ -10,7 +10,6 @@ from linetone.operators import (
     check_labels,
     fit_classifier,
     fit_vectoriser,
-    model_weights,
     score_phrases,
 )
 from linetone.plans.training import train_and_score, vectorise
@@ -51,15 +50,6 @@ def test_predictions(fitted):
     assert fitted.classifier.numClasses == 5
 
 
-def test_weight_table_twin(fitted):
-    weights = model_weights(fitted.vectoriser, fitted.classifier)
-    intercepts = fitted.classifier.interceptVector.toArray()
-    twin = score_phrases(fitted.lines.select("Phrase", "filtered"), weights, intercepts)
-    assert rows(twin, "Phrase", "Sentiment_Predicted") == rows(
-        fitted.lines, "Phrase", "Sentiment_Predicted"
-    )
-
-
 def test_save_twice_and_load(fitted, tmp_path):
     path = str(tmp_path / "model")
     save_classifier(fitted.classifier, path)

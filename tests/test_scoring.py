@@ -1,17 +1,19 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from conftest import plan_of, rows
 
 from linetone.operators import (
     add_words,
+    genre_report,
     mean_score,
     mean_score_without_neutral,
     score_phrases,
     title_report,
     unique_phrases,
 )
-from linetone.operators import scoring
 
 WEIGHTS = {"bad": (3, 0, 0, 0, 0), "fine": (0, 0, 0, 3, 0), "great": (0, 0, 0, 0, 3)}
 INTERCEPTS = (0, 0, 1, 0, 0)
@@ -51,17 +53,29 @@ def test_predictions(scored):
     assert rows(margins) == [(6.0, 0.0, 1.0, 0.0, 0.0)]
 
 
-def test_scoring_reuses_the_partitioning_of_the_deduplication(scored):
+def test_small_weight_tables_are_broadcast(scored):
     plan = plan_of(scored)
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange hashpartitioning") == 2  # the de-duplication, the sums
     assert "SortMergeJoin" not in plan
 
 
-@pytest.mark.parametrize("limit", ["LITERAL_TERMS", "BROADCAST_TERMS"])
-def test_long_weight_lists_give_the_same(phrases, scored, monkeypatch, limit):
-    monkeypatch.setattr(scoring, limit, 0)
-    unique = unique_phrases(add_words(phrases(LINES)), ["movieId", "line_no"])
-    assert rows(score_phrases(unique, WEIGHTS, INTERCEPTS)) == rows(scored)
+def test_weights_beyond_the_broadcast_threshold_give_the_same(spark, phrases, scored):
+    expected = rows(scored)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        unique = unique_phrases(add_words(phrases(LINES)), ["movieId", "line_no"])
+        joined = score_phrases(unique, WEIGHTS, INTERCEPTS)
+        assert "SortMergeJoin" in plan_of(joined)
+        assert rows(joined) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_equal_lines_of_one_title_stay_apart(phrases):
+    """Only the words name a phrase where the kept columns don't."""
+    unique = unique_phrases(add_words(phrases([(1, "bad"), (1, "fine"), (1, "bad fine")])), ["movieId"])
+    found = score_phrases(unique, WEIGHTS, INTERCEPTS)
+    assert rows(found, "movieId", "Sentiment_Predicted") == [(1, 0.0), (1, 0.0), (1, 3.0)]
 
 
 def test_means(scored):
@@ -70,6 +84,13 @@ def test_means(scored):
     assert rows(mean_score_without_neutral(scored, neutral=0.0)) == [(1, 3.0), (2, 2.0)]
 
 
+def test_genres(spark, scored):
+    titles = spark.createDataFrame(
+        [(1, "war|drama"), (2, "drama"), (4, None), (9, "war")], "movieId long, genres string"
+    )
+    assert rows(genre_report(titles, scored)) == [("drama", 2.0), ("war", 2.0)]
+
+
 def test_report_leaves_out_all_neutral_and_unscored_titles(titles, scored):
     found = title_report(titles, scored)
     assert [tuple(r) for r in found.collect()] == [(1, "One", 2.0, 2.0), (4, "Four", 0.0, 0.0)]
@@ -87,4 +108,4 @@ def test_report_with_all_titles(titles, scored):
 
 def test_report_reads_the_scored_set_once(titles, scored):
     plan = plan_of(title_report(titles, scored))
-    assert plan.count("HashAggregate(keys=[movieId") == 2  # partial and final
+    assert len(re.findall(r"HashAggregate\(keys=\[movieId#\d+L\]", plan)) == 2  # partial and final

@@ -8,7 +8,7 @@ from conftest import plan_of, rows
 from linetone.operators import bag_of_words, coverage_counts, titles_with_text, titles_without_text
 from linetone import session
 from linetone.functions import title_file_key, title_text_path
-from linetone.session import spread, stage, workspace
+from linetone.session import stage, workspace
 from linetone.sources import (
     list_text_files,
     model_path,
@@ -157,6 +157,29 @@ def test_catalogue(spark, tmp_path):
     assert rows(title_names(titles, 3)) == [('"Quoted" One (1998)',), ("A, The (1995)",), (None,)]
 
 
+def test_damaged_catalogue_records(spark, tmp_path):
+    """A cell too many or too few, an open quote: rejects, whatever columns are asked for."""
+    path = tmp_path / "movies.csv"
+    bad = ["1,A, B (1990),Drama", '3,"Unclosed, Foo', "4,Short", '8,"Unclosed, Foo,Z', "x5,id,Y"]
+    good = ["2,fine,X", '6,"a, b",Z', '7,"say ""hi""",Z', '9,in"ner,Z']
+    path.write_text("\n".join(["movieId,title,genres", *bad, *good]))
+    titles, rejects = read_catalogue(spark, str(path))
+    names = [("a, b",), ("fine",), ('in"ner',), ('say "hi"',)]
+    assert rows(titles.select("title")) == rows(titles.select("genres", "title"), "title") == names
+    assert titles.count() == len(good) == len(titles.collect())
+    assert rows(rejects.select("rejected_record")) == sorted(((b,) for b in bad), key=repr)
+    assert rejects.count() == rejects.select("title").count() == len(bad)
+
+
+def test_damaged_phrase_records(spark, tmp_path):
+    path = tmp_path / "train.tsv"
+    bad = ["3\t1\textra\t3\tmore", "4\tabc\tsentence id\t2", "5\t1\tno label", "6\t1\thalf\t1.5"]
+    path.write_text("\n".join(["PhraseId\tSentenceId\tPhrase\tSentiment", "1\t1\tfine\t3", *bad]))
+    phrases, rejects = read_labelled_phrases(spark, str(path))
+    assert rows(phrases.select("Phrase")) == [("fine",)] and phrases.count() == 1
+    assert rows(rejects.select("rejected_record")) == sorted(((b,) for b in bad), key=repr)
+
+
 def test_labelled_phrases(spark, tmp_path):
     path = tmp_path / "train.tsv"
     path.write_text(
@@ -200,13 +223,24 @@ def test_discard_run_removes_only_its_own_folder(spark, titles, tmp_path, monkey
     assert list((tmp_path / "linetone").iterdir()) == [other]
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, cores + 1)
-    assert spread(wide) is wide
+def test_names_limit_the_files_that_are_read(spark, texts, titles):
+    names = ["Plain (1995).en.srt", "[x] Brackets {y}.en.srt", "C++ a+b.en.srt", "100% Pure.en.srt"]
+    limited = read_subtitles(spark, texts, titles, names=names)
+    assert limited.count() == 3 * (len(names) + 1)  # two titles share a file
+    lines = read_line_files(spark, texts, names=names)
+    lines.collect()
+    scan = next(p for p in _nodes(lines._jdf.queryExecution().executedPlan()) if "Scan text" in p.nodeName())
+    assert scan.metrics().apply("numFiles").value() == len(names)
+    assert read_line_files(spark, texts, names=[]).count() == 0
+
+
+def _nodes(plan):
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from _nodes(children.apply(i))
 
 
 def test_model_path():
-    assert model_path("/out/", 10, 42) == "/out/lr_model_test_10_train_42"
-    assert model_path("/out", None, 42) == "/out/lr_model_test_None_train_42"
+    assert model_path("/out/", 10, 42) == "/out/phrase_classifier-10-titles-42-phrases"
+    assert model_path("/out", None, 42) == "/out/phrase_classifier-all-titles-42-phrases"

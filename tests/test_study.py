@@ -81,7 +81,7 @@ def test_whole_study(build, tmp_path):
     assert results[0][2] > results[1][2] == results[1][3] == 0.0
     before = rows(study.df_test, "Phrase", "Sentiment_Predicted")
     path = study.save_model(str(tmp_path))
-    assert path.endswith("lr_model_test_None_train_10")
+    assert path.endswith("phrase_classifier-all-titles-10-phrases")
     again = load_classifier(path).transform(
         study.df_test.drop("rawPrediction", "probability", "Sentiment_Predicted")
     )
@@ -117,7 +117,7 @@ def test_command_line(spark, files, tmp_path, capsys):
     assert (args.limit_movies, args.limit_training_set, args.verbose) == (4, None, 1)
     study = cli.run(spark, args)
     printed = capsys.readouterr().out
-    assert "not found for 1 movie" in printed and "Continuing with 3 movies" in printed
+    assert "left out: 1\n" in printed and "in the study: 3\n" in printed
     assert printed.index("Training set") < printed.index("Testing set")
     assert rows(spark.read.parquet(f"{tmp_path}/results")) == rows(study.df_results)
-    load_classifier(f"{tmp_path}/lr_model_test_4_train_10")
+    load_classifier(f"{tmp_path}/phrase_classifier-4-titles-10-phrases")
