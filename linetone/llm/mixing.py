@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from linetone.llm.ranges import running_totals
+from linetone.operators import running_totals
 from linetone.session import stage
 
 WEIGHTS = (5, 2, 1)
