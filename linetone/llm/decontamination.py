@@ -195,4 +195,4 @@ def without_leaks(
     """The documents that hold no benchmark item, in the input's columns."""
     found = leaks(documents, benchmark, coverage).select(F.col("doc_id").alias("_leak")).distinct()
     found = stage(found, "leaks")
-    return documents.join(found, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti")
+    return documents.join(found, documents["doc_id"].eqNullSafe(found["_leak"]), "left_anti")

@@ -10,6 +10,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from linetone.llm.names import numbered, restored
 from linetone.session import stage
 
 # The sample a dictionary is made of: up to SAMPLE texts of a language, of between
@@ -132,12 +133,27 @@ def identify(documents: DataFrame, labelled: DataFrame) -> DataFrame:
     Columns of these names are replaced; other columns, nulls and repeated rows pass
     through. An empty table gives no rows.
     """
-    guess = prediction(learn(labelled))
-    keep = [F.col(c) for c in documents.columns if c not in ("lang_pred", "score", "rejected")]
-    guessed = documents.select(*keep, guess.alias("_guess"))
+    guessed, names = _guessed(documents, labelled)
     return guessed.select(
-        *keep,
+        *restored(names, ("lang_pred", "score", "rejected")),
         "_guess.lang_pred",
         "_guess.score",
-        ((F.col("_guess.lang_pred") == UNKNOWN) | (F.col("_guess.margin") < MARGIN)).alias("rejected"),
+        _rejected().alias("rejected"),
     )
+
+
+def clear(documents: DataFrame, labelled: DataFrame) -> DataFrame:
+    """The documents that are not rejected, in the input's columns."""
+    guessed, names = _guessed(documents, labelled)
+    return guessed.where(~_rejected()).select(*restored(names))
+
+
+def _guessed(documents: DataFrame, labelled: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    guess = prediction(learn(labelled), "_text")
+    rows, names = numbered(documents)
+    rows = rows.withColumn("_text", F.col(names["text"]))
+    return rows.select(*names.values(), guess.alias("_guess")), names
+
+
+def _rejected() -> Column:
+    return (F.col("_guess.lang_pred") == UNKNOWN) | (F.col("_guess.margin") < MARGIN)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from linetone.llm.names import numbered, restored
 from linetone.operators import running_totals
 from linetone.session import stage
 
@@ -89,10 +90,13 @@ def mix(
     and are cut alike. Null sources are one source. Existing columns of these names are
     replaced. An empty table gives no rows.
     """
-    new = ("size", "source_size", "target", "taken", "copies")
-    keep = [F.col(c) for c in documents.columns if c not in new]
-    thin = documents.select("source", random_key().alias("_key"), word_count().alias("_size"))
-    thin = stage(thin, "sizes")
+    rows, names = numbered(documents)
+    rows = rows.withColumns(
+        {c: F.col(names[c]) for c in ("doc_id", "text", "source")}
+    ).select(
+        *names.values(), "source", random_key().alias("_key"), word_count().alias("_size")
+    )
+    thin = stage(rows.select("source", "_key", "_size"), "sizes")
     order = [F.asc_nulls_last("source"), F.col("_key")]
     ranged = running_totals(thin, order, {"_end": F.col("_size")})
     sizes = thin.groupBy("source").agg(F.sum("_size").alias("source_size"))
@@ -117,37 +121,31 @@ def mix(
     )
     plan = plan.join(cut, F.col("_source").eqNullSafe(F.col("_cut_source")), "left")
     plan = stage(plan, "plan")  # read back, its size is known and decides how it is joined
-    key, size = F.col("_key"), F.col("size")
-    part = (
-        F.when(F.col("_cut._key").isNull() | (key < F.col("_cut._key")), size)
-        .when(key == F.col("_cut._key"), F.least(size, F.col("_cut._part")))
-        .otherwise(F.lit(0))
-    )
-    part = F.when(F.col("_rest") > 0, part).otherwise(F.lit(0))
-    last = (F.col("_rest") > 0) & (
-        F.col("_cut._key").isNull()
-        | (key < F.col("_cut._key"))
-        | ((key == F.col("_cut._key")) & (2 * F.col("_cut._part") >= size))
-    )
-    return (
-        documents.select(*keep, word_count().alias("size"), random_key().alias("_key"))
-        .join(plan, same)
-        .select(
-            *keep,
-            "size",
-            "source_size",
-            "target",
-            (F.col("_passes") * size + part).cast("long").alias("taken"),
-            (F.col("_passes") + last.cast("long")).cast("long").alias("copies"),
-        )
+    key, size = F.col("_key"), F.col("_size")
+    at_cut = key == F.col("_cut._key")
+    before = F.col("_cut._key").isNull() | (key < F.col("_cut._key"))
+    started = F.col("_rest") > 0
+    part = F.when(before, size).when(at_cut, F.least(size, F.col("_cut._part"))).otherwise(F.lit(0))
+    part = F.when(started, part).otherwise(F.lit(0))
+    last = started & (before | (at_cut & (2 * F.col("_cut._part") >= size)))
+    return rows.join(plan, same).select(
+        *restored(names, ("size", "source_size", "target", "taken", "copies")),
+        size.alias("size"),
+        "source_size",
+        "target",
+        (F.col("_passes") * size + part).cast("long").alias("taken"),
+        (F.col("_passes") + last.cast("long")).cast("long").alias("copies"),
     )
 
 
 def mixed(documents: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as ``copies`` says, in the input's columns."""
-    return mix(documents, **options).select(
-        *documents.columns, F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("_")
-    ).drop("_")
+    rows, names = numbered(documents)
+    needed = {names[c]: c for c in ("doc_id", "text", "source")}
+    found = mix(rows.withColumns({c: F.col(n) for n, c in needed.items()}), **options)
+    times = F.array_repeat(F.lit(0), F.col("copies").cast("int"))
+    repeated = found.select(*names.values(), F.explode(times).alias("_"))
+    return repeated.select(*restored(names))
 
 
 # The same from plain windows over whole sources, for DuckDB.

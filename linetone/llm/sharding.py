@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from linetone.llm.names import numbered, restored
 from linetone.operators import running_totals
 from linetone.session import stage
 
@@ -41,9 +42,9 @@ def minimax_shards(
     Existing columns ``shard`` and ``slot`` are replaced. Pass a narrow ``df``: all its
     columns are shuffled twice.
     """
-    rows = df.select(
-        *(c for c in df.columns if c not in ("shard", "slot")), F.col(size).alias("_size")
-    )
+    rows, names = numbered(df)
+    rows = rows.withColumn("_size", F.col(names[size]))
+    group, tie = names[group], [names[t] for t in tie]
     groups = rows.groupBy(group).agg(F.sum("_size").alias("_size"))
     groups = stage(groups, "groups")
     total = groups.agg(F.sum("_size")).first()[0] or 0
@@ -85,8 +86,10 @@ def minimax_shards(
         past = F.col("_end") > cut
         shard = shard + past.cast("int")
         first = F.when(past, F.lit(counts.get(cut, 0)).cast("long")).otherwise(first)
-    return laid.withColumns({"shard": shard, "slot": F.col("_nth") - 1 - first}).drop(
-        "_size", "_ahead", "_end", "_nth"
+    return laid.select(
+        *restored(names, ("shard", "slot")),
+        shard.alias("shard"),
+        (F.col("_nth") - 1 - first).alias("slot"),
     )
 
 

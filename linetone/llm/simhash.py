@@ -155,7 +155,7 @@ def without_near_duplicates(documents: DataFrame, shingle: int = SHINGLE) -> Dat
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     kept = stage(kept.groupBy("doc_id").agg(F.count("*").alias("_rows")), "kept")
     kept = kept.withColumnRenamed("doc_id", "_kept")
-    same = F.col("doc_id").eqNullSafe(F.col("_kept"))
+    same = documents["doc_id"].eqNullSafe(kept["_kept"])
     chosen = documents.join(kept.where("_rows = 1"), same, "left_semi")
     # Texts are shuffled only for ids that are not unique.
     repeated = documents.join(kept.where("_rows > 1"), same, "left_semi")

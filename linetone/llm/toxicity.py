@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
+from linetone.llm.names import numbered, restored
 from linetone.session import stage
 
 # Labelled rows that are learned from, the first by hash; two fifths for the lexicon, two
@@ -240,23 +241,17 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     Every whole text is scored from its features; null and empty texts have zeros for all.
     Existing columns ``score`` and ``predicted`` are replaced. An empty table gives no rows.
     """
-    keep = [c for c in documents.columns if c not in ("score", "predicted")]
-    rows = documents.select(*keep)
-    if model.trees is None:
-        rows = rows.withColumn("score", F.lit(model.rate))
-    else:
-        names = [f"_{i}" for i in range(len(keep))]  # the model's columns can't clash with these
-        text = names[keep.index("text")]
-        rows = _assembled(rows.toDF(*names).withColumn("text", F.col(text)), model.lexicon)
+    rows, names = numbered(documents)
+    value = F.lit(model.rate)
+    if model.trees is not None:
+        rows = _assembled(rows.withColumn("text", F.col(names["text"])), model.lexicon)
         p = vector_to_array("probability")[1]
         rows = model.trees.transform(rows).withColumn("_p", p)
         calibrated = _interpolate(F.col("_p"), model.boundaries, model.levels)
         value = (1 - OWN) * calibrated + OWN * F.col("_p")
-        rows = rows.select(
-            *(F.col(n).alias(c) for n, c in zip(names, keep, strict=True)),
-            F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)).alias("score"),
-        )
-    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+        value = F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))
+    scored = rows.select(*restored(names, ("score", "predicted")), value.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def _interpolate(x: Column, boundaries: list[float], levels: list[float]) -> Column:

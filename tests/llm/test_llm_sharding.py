@@ -50,8 +50,8 @@ def test_a_heavy_group_gets_a_shard_and_the_rest_stays_even(spark):
 
 def test_odd_documents(spark):
     df = documents(spark).select(
-        "doc_id", text_size().alias("size"), text_group().alias("group"), "text", "_part"
-    ).withColumnRenamed("_part", "shard")
+        "doc_id", text_size().alias("size"), text_group().alias("group"), "text", "_part", "_size", "shard"
+    )
     found = minimax_shards(df, "size", "group", ["doc_id"], 4).collect()
     assert len(found) == df.count()
     places = defaultdict(set)
