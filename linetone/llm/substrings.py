@@ -12,7 +12,9 @@ import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
+from linetone.llm.batches import bound_batches
 from linetone.llm.bitmaps import bitmap, passes
+from linetone.operators import running_totals
 from linetone.session import stage
 
 # Bytes of the strings that may occur once only, and of the grams of the first buckets.
@@ -156,10 +158,13 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for doc, body, anchors in zip(batch["doc"], batch["body"], batch["anchors"], strict=True):
             content = unpack.decompress(body)
             rows += [
-                (a["bucket"], doc, a["start"], a["n"], content[a["start"] : a["start"] + a["n"] - 1 + LENGTH])
+                (
+                    a["bucket"], doc, a["start"], a["n"], a["rank"],
+                    content[a["start"] : a["start"] + a["n"] - 1 + LENGTH],
+                )
                 for a in anchors
-            ]
-        yield pd.DataFrame(rows, columns=["bucket", "doc", "start", "n", "content"])
+            ]
+        yield pd.DataFrame(rows, columns=["bucket", "doc", "start", "n", "rank", "content"])
 
 
 def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,6 +185,7 @@ def _strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     "context": _refined(grams, at).view(np.int64),
                     "doc": np.repeat(part["doc"].to_numpy(np.int64), n),
                     "start": np.repeat(part["start"].to_numpy(np.int64), n) + offset,
+                    "place": np.repeat(part["rank"].to_numpy(np.int64), n) * LENGTH + offset,
                 }
             )
 
@@ -196,17 +202,11 @@ def _firsts(rows: DataFrame) -> DataFrame:
     """The first place of each bucket and context; partial minima keep frequent ones small."""
     place = F.col("doc").cast("decimal(20,0)") * F.lit(_STARTS) + F.col("start")
     place = F.min(place.cast("decimal(38,0)")).alias("place")
-    # Equal contexts have as many strings.
-    n = [F.min("n").alias("n")] if "n" in rows.columns else []
+    n = F.min("n").alias("n")  # equal contexts have as many strings
     start = F.pmod("place", F.lit(_STARTS).cast("decimal(38,0)"))
-    found = rows.groupBy("bucket", "context").agg(place, *n).withColumn("start", start)
+    found = rows.groupBy("bucket", "context").agg(place, n).withColumn("start", start)
     doc = ((F.col("place") - F.col("start")) / F.lit(_STARTS)).cast("long").alias("doc")
-    return found.select("bucket", doc, F.col("start").cast("long").alias("start"), *(["n"] if n else []))
-
-
-def _later(rows: DataFrame, firsts: DataFrame) -> DataFrame:
-    """The rows at other than first places."""
-    return rows.join(firsts.select("doc", "start"), ["doc", "start"], "left_anti")
+    return found.select("bucket", doc, F.col("start").cast("long").alias("start"), "n")
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -228,19 +228,24 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     repeated = bitmap(keys, "key", ANCHOR_BITS)
     rows = long.mapInArrow(_anchor_rows(repeated), f"bucket long, context long, {PLACE}, n int")
     firsts = stage(_firsts(rows), "firsts")
-    whole = _later(rows.select("doc", "start", "n"), firsts)
+    places = firsts.select("doc", "start")
+    whole = rows.select("doc", "start", "n").join(places, ["doc", "start"], "left_anti")
     whole = whole.select("doc", "start", (F.col("start") + F.col("n") - 1 + LENGTH).alias("end"))
     whole = stage(whole, "whole")
 
     several = firsts.groupBy("bucket").agg(F.count("*").alias("contexts")).where("contexts > 1")
     several = stage(several.select("bucket"), "several")
-    open_ = stage(firsts.join(several, "bucket"), "open")
-    anchors = open_.groupBy("doc").agg(F.collect_list(F.struct("bucket", "start", "n")).alias("anchors"))
-    anchors = anchors.join(_packed(long, in_bitmap(open_, "doc")), "doc")
-    contexts = anchors.mapInPandas(_contexts, f"bucket long, {PLACE}, n int, content binary")
-    contexts = stage(contexts, "contexts")
-    strings = contexts.mapInPandas(_strings, f"bucket long, context long, {PLACE}")
-    single = _later(strings.select("doc", "start"), _firsts(strings))
+    open_ = firsts.join(several, "bucket")
+    # Numbered in order, a context and an offset in it make one number for a string's place.
+    order, one = [F.col("doc"), F.col("start")], F.lit(1).cast("long")
+    open_ = stage(running_totals(open_, order, {"rank": one}), "open")
+    anchors = F.collect_list(F.struct("bucket", "start", "n", "rank")).alias("anchors")
+    anchors = open_.groupBy("doc").agg(anchors).join(_packed(long, in_bitmap(open_, "doc")), "doc")
+    columns = f"bucket long, {PLACE}, n int, rank long, content binary"
+    contexts = stage(anchors.mapInPandas(_contexts, columns), "contexts")
+    strings = contexts.mapInPandas(_strings, f"bucket long, context long, {PLACE}, place long")
+    first = strings.groupBy("bucket", "context").agg(F.min("place").alias("place"))
+    single = strings.select("doc", "start", "place").join(first.select("place"), "place", "left_anti")
     single = single.select("doc", "start", (F.col("start") + LENGTH).alias("end"))
     spans = whole.unionByName(single).groupBy("doc")
     return spans.agg(F.collect_list(F.struct("start", "end")).alias("spans"))
@@ -316,6 +321,7 @@ def without_repeats(documents: DataFrame) -> DataFrame:
 
     Texts that lose nothing are not shuffled, but for a few that the filter lets pass.
     """
+    bound_batches(documents.sparkSession)
     texts = documents.select(
         F.coalesce(F.col("doc_id"), F.lit(NULL_ID)).cast("long").alias("doc"),
         F.coalesce("text", F.lit("")).alias("text"),
