@@ -11,8 +11,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 # A k-mer is an anchor if its smallest inner s-mer stands at one of its ends.
-K = 16
-S = 6
+K = 10
+S = 4
 
 # Anchors kept: those of smallest hash, which any two texts choose alike.
 ANCHORS = 64
@@ -20,6 +20,10 @@ ANCHORS = 64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
+# Beyond all code points.
+_BEFORE = np.arange(K - 1, dtype=np.uint64) + np.uint64(0x110000)
+_AFTER = _BEFORE + np.uint64(K)
+
 # Code points handled at a time; pieces overlap, so the anchors don't depend on it.
 PIECE = 1 << 20
 
@@ -54,26 +58,32 @@ def _anchors(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def fingerprint(text: str) -> str:
     """Hex of the chosen anchors' 32-bit hashes, eight digits each, in the order of the text.
 
-    An anchor that recurs stands at its first place. A text without anchors, such as one
-    shorter than a k-mer, is one anchor as a whole; the empty text has none.
+    The first, second … occurrence of an anchor count as different ones, so that a text
+    that says little else counts for its length. Marks before and after the text let one
+    shorter than a k-mer have some. A text without any is one anchor as a whole; the empty
+    text has none.
     """
     if not text:
         return ""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    points = np.concatenate((_BEFORE, points, _AFTER))
     hashes, places = [], []
     for start in range(0, max(1, len(points) - K + 1), PIECE):
         piece = points[start : start + PIECE + K - 1]
         if len(piece) >= K:
             at, h = _anchors(piece)
-            # Of a piece only its smallest distinct anchors can be among the whole text's.
-            h, first = np.unique((h >> np.uint64(32)).astype(np.uint32), return_index=True)
-            hashes.append(h[:ANCHORS])
-            places.append(at[first[:ANCHORS]] + start)
+            hashes.append(h)
+            places.append(at + start)
     if not sum(map(len, hashes)):
         whole = _mers(points, len(points))
         return f"{int(whole[0] >> np.uint64(32)):08x}"
     h, at = np.concatenate(hashes), np.concatenate(places)
-    chosen, first = np.unique(h, return_index=True)  # pieces are in order: the first place counts
+    order = np.argsort(h, kind="stable")
+    new = np.concatenate(([True], h[order][1:] != h[order][:-1]))
+    nth = np.empty(len(h), np.uint64)
+    nth[order] = np.arange(len(h)) - np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+    h = (_mixed(h + nth * _BASE) >> np.uint64(32)).astype(np.uint32)
+    chosen, first = np.unique(h, return_index=True)
     chosen, first = chosen[:ANCHORS], first[:ANCHORS]
     return chosen[np.argsort(at[first], kind="stable")].astype(">u4").tobytes().hex()
 
