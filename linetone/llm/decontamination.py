@@ -196,3 +196,77 @@ def without_leaks(
     found = leaks(documents, benchmark, coverage).select(F.col("doc_id").alias("_leak")).distinct()
     found = stage(found, "leaks")
     return documents.join(found, documents["doc_id"].eqNullSafe(found["_leak"]), "left_anti")
+
+
+# The same with windows compared as lists of words, for DuckDB.
+_UNIT_LIST = ", ".join(f"'{u}'" for u in UNITS)
+_TYPED = r"regexp_matches({}, '{}')"
+_ONLY_MARK = f"^{MARK}$"
+ORACLE_SQL = rf"""
+WITH texts AS (
+  SELECT 'document' AS side, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'item', item_id, text FROM benchmark),
+plain AS (
+  SELECT side, id, w, unnest(range(greatest(len(w) - {WINDOW - 1}, 0))) AS pos
+  FROM (SELECT side, id, regexp_extract_all(lower(text), '{TOKEN}') AS w FROM texts)),
+marked AS (SELECT side, id, regexp_extract_all(text, '{TOKEN}|{MARK}') AS t FROM texts),
+kinds AS (
+  SELECT side, id, list_filter(list_transform(range(1, len(t) + 1), lambda i: struct_pack(
+    word := lower(t[i]),
+    kind := CASE WHEN {_TYPED.format('t[i]', NUMBER)} THEN '<number>'
+                 WHEN i > 1 AND {_TYPED.format('t[i - 1]', NUMBER)}
+                      AND list_contains([{_UNIT_LIST}], lower(t[i])) THEN '<unit>'
+                 WHEN i > 1 AND NOT {_TYPED.format('t[i - 1]', _ONLY_MARK)}
+                      AND {_TYPED.format('t[i]', NAME)} THEN '<name>'
+                 ELSE lower(t[i]) END)),
+    lambda s: NOT {_TYPED.format('s.word', _ONLY_MARK)}) AS w
+  FROM marked),
+typed AS (
+  SELECT side, id, w[pos + 1:pos + {WINDOW}] AS w, pos
+  FROM (SELECT side, id, w, unnest(range(greatest(len(w) - {WINDOW - 1}, 0))) AS pos FROM kinds)),
+slotted AS (
+  SELECT side, id, pos,
+         list_transform(w, lambda s, i: CASE WHEN i = 1 AND s.kind = '<name>' THEN s.word ELSE s.kind END) AS win,
+         list_transform(list_filter(w, lambda s, i: s.kind <> s.word AND NOT (i = 1 AND s.kind = '<name>')),
+                        lambda s: s.word) AS slots
+  FROM typed),
+windows AS (
+  SELECT DISTINCT side, id, pos, w[pos + 1:pos + {WINDOW}] AS win, NULL::VARCHAR[] AS slots FROM plain
+  UNION ALL
+  SELECT DISTINCT side, id, pos, win, slots FROM slotted
+  WHERE len(slots) BETWEEN 1 AND {WINDOW - WORDS_IN_WINDOW}),
+totals AS (SELECT id, count(DISTINCT pos) AS windows FROM plain WHERE side = 'item' GROUP BY id),
+met AS (
+  SELECT d.id AS doc_id, b.id AS item_id, b.pos, d.pos - b.pos AS shift, d.slots, b.slots AS item_slots
+  FROM windows d JOIN windows b ON d.win = b.win AND (d.slots IS NULL) = (b.slots IS NULL)
+  WHERE d.side = 'document' AND b.side = 'item'),
+stands_for AS (
+  SELECT DISTINCT doc_id, item_id, shift, unnest(item_slots) AS i, unnest(slots) AS d FROM met
+  WHERE slots IS NOT NULL),
+torn_shifts AS (
+  SELECT doc_id, item_id, shift FROM stands_for
+  GROUP BY ALL HAVING count(DISTINCT (i, d)) > count(DISTINCT i)),
+torn_pairs AS (
+  SELECT doc_id, item_id FROM stands_for
+  GROUP BY ALL HAVING count(DISTINCT (i, d)) > count(DISTINCT i)),
+shifts AS (
+  SELECT doc_id, item_id, shift, count(DISTINCT pos) AS n FROM met GROUP BY ALL),
+pairs AS (
+  SELECT doc_id, item_id, count(DISTINCT pos) FILTER (WHERE slots IS NULL) AS plain_n,
+         count(DISTINCT pos) AS any_n
+  FROM met GROUP BY ALL),
+best AS (
+  SELECT p.doc_id, p.item_id, p.plain_n, t.windows,
+         greatest(coalesce((SELECT max(n) FROM shifts s ANTI JOIN torn_shifts USING (doc_id, item_id, shift)
+                            WHERE s.doc_id = p.doc_id AND s.item_id = p.item_id), 0),
+                  CASE WHEN (p.doc_id, p.item_id) IN (SELECT (doc_id, item_id) FROM torn_pairs)
+                       THEN 0 ELSE p.any_n END) AS template_n
+  FROM pairs p JOIN totals t ON t.id = p.item_id),
+judged AS (
+  SELECT doc_id, item_id, windows, plain_n >= windows * {COVERAGE} AS verbatim,
+         CASE WHEN plain_n >= windows * {COVERAGE} THEN plain_n ELSE template_n END AS matched
+  FROM best)
+SELECT doc_id, item_id, windows, matched, matched / windows AS coverage,
+       CASE WHEN verbatim THEN 'verbatim' ELSE 'template' END AS kind
+FROM judged WHERE matched >= windows * {COVERAGE}
+"""

@@ -106,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
     "op2_mixing": mixing.ORACLE_SQL,
+    "op3_decontamination": decontamination.ORACLE_SQL,
     "op4_chat": chat.ORACLE_SQL,
     "op7_url_filters": url_filters.ORACLE_SQL,
 }

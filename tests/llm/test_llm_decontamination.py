@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import duckdb
 import pytest
 from odd_documents import documents, empty, prose
 
-from linetone.llm.decontamination import leaks, without_leaks
+from check import compare
+from linetone.llm.decontamination import ORACLE_SQL, leaks, without_leaks
 
 ITEM = (
     "Yesterday the farmer Smith sold 12 kg of apples to the baker Miller for 30 dollars and then "
@@ -65,3 +67,14 @@ def test_odd_and_empty_tables(spark):
     assert leaks(empty(spark), bench).count() == 0
     assert leaks(odd, bench.limit(0)).count() == 0
     assert without_leaks(odd, bench.limit(0)).count() == odd.count()
+
+
+def test_equal_to_sql(found, tmp_path):
+    df, bench, _ = found
+    df = df.where("doc_id is not null")
+    df.write.parquet(f"{tmp_path}/documents")
+    bench.write.parquet(f"{tmp_path}/benchmark")
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}/*.parquet')")
+    assert compare(leaks(df, bench), connection, ORACLE_SQL) is None
