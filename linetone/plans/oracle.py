@@ -200,6 +200,14 @@ files AS (
   FROM lines GROUP BY ALL)
 SELECT * FROM files
 UNION ALL SELECT {SHARING}, n_chars, n_lines FROM files WHERE movieId = 0""",
+    "subtitle_cues": f"""
+WITH cues AS (
+  SELECT conv_id % {FILES} AS movieId, turn + 1 AS cue,
+         '00:00:' || lpad(CAST(turn % 60 AS VARCHAR), 2, '0') AS second, text
+  FROM conversations),
+titled AS (
+  SELECT * FROM cues UNION ALL SELECT {SHARING}, cue, second, text FROM cues WHERE movieId = 0)
+SELECT movieId, cue, second || ',000' AS start, second || ',900' AS "end", text FROM titled""",
     "phrase_lines": f"WITH {CONVERSATION_LINES} SELECT * FROM lines",
     "tokens": f"""
 WITH {CONVERSATION_LINES}, {WORDS}

@@ -45,6 +45,7 @@ from linetone.sources import (
     read_catalogue,
     read_labelled_phrases,
     read_subtitles,
+    split_cues,
     save_classifier,
 )
 from linetone.sources.catalogue import first_titles
@@ -179,14 +180,13 @@ def fault_pieces(fault: str) -> list[str]:
     return [p for p in fault.replace("}", "{").split("{") if p]
 
 
-def _line_files(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
-    """A folder of text files, and titles for them.
+def _line_files(spark: SparkSession, lines: DataFrame) -> tuple[str, DataFrame]:
+    """A folder of text files with the ``Phrase`` of ``lines``, and titles for them.
 
     Part file k has the lines of the conversations with remainder k, so a title's id is
     known from its file's number.
     """
     path = new_path(spark, "subtitles")
-    lines = conversation_lines(spark, folder)
     dealt = lines.repartitionById(FILES, (F.col("movieId") % FILES).cast("int"))
     dealt.select("Phrase").write.text(path)
     named = list_text_files(spark, path, ".txt").select(
@@ -200,14 +200,14 @@ def _line_files(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
 
 def subtitle_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation lines written as text files and read back with the id of their title."""
-    path, titles = _line_files(spark, folder)
+    path, titles = _line_files(spark, conversation_lines(spark, folder))
     lines = read_subtitles(spark, path, titles, ".txt")
     return lines.groupBy("movieId", "Phrase").agg(F.count("*").alias("n"))
 
 
 def subtitle_whole(spark: SparkSession, folder: str) -> DataFrame:
     """The same files read as one value each: characters and line ends."""
-    path, titles = _line_files(spark, folder)
+    path, titles = _line_files(spark, conversation_lines(spark, folder))
     texts = read_subtitles(spark, path, titles, ".txt", whole=True)
     text = F.col("Phrase")
     ends = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit("")))
@@ -216,6 +216,17 @@ def subtitle_whole(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def subtitle_cues(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns written as cues, their files read whole and taken apart again."""
+    second = F.lpad((F.col("turn") % 60).cast("string"), 2, "0")
+    times = F.concat(F.lit("00:00:"), second, F.lit(",000 --> 00:00:"), second, F.lit(",900"))
+    number = (F.col("turn") + 1).cast("string")
+    cue = F.concat_ws("\n", number, times, "text", F.lit("")).alias("Phrase")
+    turns = table(spark, folder, "conversations").select(F.col("conv_id").alias("movieId"), cue)
+    path, titles = _line_files(spark, turns)
+    return split_cues(read_subtitles(spark, path, titles, ".txt", whole=True))
+
+
 # Phrases and words
 
 
@@ -441,6 +452,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "phrase_rejects": phrase_rejects,
     "subtitle_scan": subtitle_scan,
     "subtitle_whole": subtitle_whole,
+    "subtitle_cues": subtitle_cues,
     "phrase_lines": phrase_lines,
     "tokens": tokens,
     "tokens_filtered": tokens_filtered,

@@ -3,6 +3,7 @@ from linetone.sources.lines import (
     list_text_files,
     read_line_files,
     read_subtitles,
+    split_cues,
     split_lines,
 )
 from linetone.sources.models import load_classifier, model_path, save_classifier
@@ -17,6 +18,7 @@ __all__ = [
     "read_line_files",
     "read_subtitles",
     "save_classifier",
+    "split_cues",
     "split_lines",
     "title_names",
 ]

@@ -60,6 +60,33 @@ def read_subtitles(
     return lines.join(keys, "file_key").select("movieId", "Phrase")
 
 
+# A number, a line with two times, and the lines of text.
+CUE = (
+    r"(?s)^\s*(\d+)[ \t]*\r?\n[ \t]*(\d+:\d\d:\d\d[,.]\d{1,3})[ \t]*-->"
+    r"[ \t]*(\d+:\d\d:\d\d[,.]\d{1,3})[^\n]*(?:\n(.*))?$"
+)
+BLANK_LINES = r"\r?\n(?:[ \t]*\r?\n)+"
+
+
+def split_cues(texts: DataFrame, text: str = "Phrase") -> DataFrame:
+    """One row per cue of whole texts: ``cue``, ``start``, ``end`` and its lines as ``text``.
+
+    Cues stand between blank lines. What has no number and times in front is left out.
+    """
+    others = [c for c in texts.columns if c != text]
+    blocks = texts.where(F.col(text).isNotNull()).select(
+        *others, F.explode_outer(F.split(text, BLANK_LINES)).alias("_block")
+    )
+    part = lambda i: F.regexp_extract("_block", CUE, i)
+    return blocks.where(F.col("_block").rlike(CUE)).select(
+        *others,
+        part(1).cast("long").alias("cue"),
+        part(2).alias("start"),
+        part(3).alias("end"),
+        F.regexp_replace(part(4), r"\s+$", "").alias("text"),
+    )
+
+
 def split_lines(texts: DataFrame, text: str = "text", number: str = "line_no") -> DataFrame:
     """One numbered row per line of a text column, as ``Phrase``, beside the other columns."""
     others = [c for c in texts.columns if c != text]

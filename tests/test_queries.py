@@ -44,6 +44,7 @@ FILE_QUERIES = {
     "labelled_phrase_scan",
     "subtitle_scan",
     "subtitle_whole",
+    "subtitle_cues",
 }
 FITTED = {"lr_training_predictions", "lr_class_counts", "model_round_trip"}
 

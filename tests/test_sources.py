@@ -16,6 +16,7 @@ from linetone.sources import (
     read_labelled_phrases,
     read_line_files,
     read_subtitles,
+    split_cues,
     split_lines,
     title_names,
 )
@@ -127,6 +128,20 @@ def test_no_files_at_all(spark, tmp_path, titles):
     assert read_subtitles(spark, str(tmp_path), titles, whole=True).count() == 0
 
 
+def test_cues(spark):
+    text = (
+        "1\r\n00:00:14,482 --> 00:00:19,696\r\nOne line\r\nand another\r\n\r\n"
+        "2\r\n00:00:20,000 --> 00:00:21,000 X1:5\r\n \r\n\r\n"
+        "no cue\n\n12\n1:02:03.4 --> 1:02:05.6\nlast\n"
+    )
+    df = spark.createDataFrame([(1, text), (2, ""), (3, None)], "movieId long, Phrase string")
+    assert rows(split_cues(df)) == [
+        (1, 1, "00:00:14,482", "00:00:19,696", "One line\r\nand another"),
+        (1, 12, "1:02:03.4", "1:02:05.6", "last"),
+        (1, 2, "00:00:20,000", "00:00:21,000", ""),
+    ]
+
+
 def test_split_lines(spark):
     df = spark.createDataFrame([(1, "a\n\nb"), (2, ""), (3, None)], "movieId long, text string")
     assert rows(split_lines(df)) == [(1, 0, "a"), (1, 1, ""), (1, 2, "b"), (2, 0, "")]
