@@ -35,7 +35,7 @@ def bitmap(keys: DataFrame, key: str, bits: int) -> Broadcast:
     chunks = places.groupBy("chunk").agg(F.collect_set("bit").alias("bits"))
     filled = np.zeros(1 << (bits - 3), np.uint8)
     size = 1 << (CHUNK - 3)
-    for chunk, content in chunks.select("chunk", packed("bits")).toLocalIterator():
+    for chunk, content in chunks.select("chunk", packed("bits")).collect():
         filled[chunk * size : (chunk + 1) * size] = np.frombuffer(content, np.uint8)
     return keys.sparkSession.sparkContext.broadcast(filled)
 
