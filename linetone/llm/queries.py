@@ -108,5 +108,6 @@ ORACLE: dict[str, str] = {
     "op2_mixing": mixing.ORACLE_SQL,
     "op3_decontamination": decontamination.ORACLE_SQL,
     "op4_chat": chat.ORACLE_SQL,
+    "op5_substrings": substrings.ORACLE_SQL,
     "op7_url_filters": url_filters.ORACLE_SQL,
 }

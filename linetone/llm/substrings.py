@@ -339,3 +339,33 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     cut = cut.mapInPandas(_cut, RESULT.replace("doc_id", "doc"))
     id_: Column = F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id")
     return whole.unionByName(cut).select(id_, "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+# The same with every string as a row, on the hexadecimal digits of the texts, for DuckDB.
+ORACLE_SQL = f"""
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (
+  SELECT doc_id, s, md5(substr(h, 2 * s + 1, {2 * LENGTH})) AS k
+  FROM (SELECT doc_id, h, unnest(range(greatest(len(h) // 2 - {LENGTH - 1}, 0))) AS s FROM texts)),
+later AS (
+  SELECT doc_id, s FROM (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY k ORDER BY doc_id, s) AS nth FROM strings)
+  WHERE nth > 1),
+opened AS (
+  SELECT doc_id, s, coalesce(s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) > {LENGTH}, true) AS opens
+  FROM later),
+numbered AS (
+  SELECT doc_id, s, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM opened),
+runs AS (
+  SELECT doc_id, run, min(s) AS a, max(s) + {LENGTH} AS b FROM numbered GROUP BY doc_id, run),
+gaps AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS kept_from FROM runs),
+cut AS (
+  SELECT doc_id, string_agg(substr(h, 2 * kept_from + 1, 2 * (a - kept_from)), '' ORDER BY a)
+                   || substr(any_value(h), 2 * max(b) + 1) AS kept,
+         sum(b - a) AS n_removed, count(*) AS n_spans
+  FROM gaps JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""
