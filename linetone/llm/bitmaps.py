@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+# Size of a filter of documents, as a power of two: 8 MB.
+DOCUMENT_BITS = 26
 
 # Bits in a chunk, the unit that tasks fill.
 CHUNK = 15
@@ -44,3 +49,18 @@ def passes(filled: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which of ``keys`` (unsigned 64-bit) the bitmap lets through."""
     place = (keys & np.uint64(8 * len(filled) - 1)).astype(np.int64)
     return (filled[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1
+
+
+def in_bitmap(keys: DataFrame, *columns: str) -> Callable[..., Column]:
+    """A condition on as many columns that holds for all of ``keys`` and for few others.
+
+    So the few are joined with the keys, and all other rows stay where they are.
+    """
+    hashed = keys.select(F.xxhash64(*columns).alias("key")).distinct()
+    filled = bitmap(hashed, "key", DOCUMENT_BITS)
+
+    @F.pandas_udf("boolean")
+    def maybe(hashes: pd.Series) -> pd.Series:
+        return pd.Series(passes(filled.value, hashes.to_numpy(np.int64).view(np.uint64)))
+
+    return lambda *values: maybe(F.xxhash64(*values))

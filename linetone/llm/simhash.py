@@ -10,7 +10,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from linetone.llm.bitmaps import in_bitmap
 from linetone.llm.components import components
+from linetone.llm.names import numbered, restored
 from linetone.session import stage
 
 SHINGLE = 4
@@ -125,14 +127,18 @@ def _links(distinct: DataFrame) -> DataFrame:
 
 
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id``, ``fp`` and ``component_id``, the smallest ``doc_id`` reachable over links.
+    """``doc_id``, ``text_key`` (a hash of the text), ``fp``, ``label`` and ``component_id``.
+
+    ``component_id`` is the smallest ``doc_id`` reachable over links, ``label`` the smallest
+    fingerprint.
 
     One row per row of ``documents``; texts go nowhere. Equal fingerprints are one node, so
     copies cost one row each. Texts without words (null, empty) have fingerprint 0 and link
     like any other. A null ``doc_id`` is no candidate for the smallest, unless a component
     has no other. Only ``doc_id`` and ``text`` are used. An empty table gives no rows.
     """
-    prints = documents.select("doc_id", _fingerprints(shingle)("text").alias("fp"))
+    text_key = F.xxhash64("text").alias("text_key")
+    prints = documents.select("doc_id", text_key, _fingerprints(shingle)("text").alias("fp"))
     prints = stage(prints, "fingerprints")
     nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     links = stage(_links(nodes.select("fp")), "links")
@@ -142,21 +148,38 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     )
     grouped = stage(grouped, "grouped")
     smallest = grouped.groupBy("label").agg(F.min("first").alias("component_id"))
-    by_print = stage(grouped.join(smallest, "label").select("fp", "component_id"), "by_print")
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    by_print = grouped.join(smallest, "label").select("fp", "label", "component_id")
+    by_print = stage(by_print, "by_print")
+    columns = ["doc_id", "text_key", "fp", "label", "component_id"]
+    return prints.join(by_print, "fp").select(*columns)
 
 
 def without_near_duplicates(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One document of each component: the one with the smallest ``doc_id``.
 
-    If that ``doc_id`` occurs in several rows, one of them stays.
+    If that ``doc_id`` occurs in several rows of the component, one of them stays. The rows
+    that go, and those that stand for others, are known by id and hash of the text; a filter
+    of fixed size tells nearly all other rows from them, so that texts are shuffled for few.
     """
     found = stage(near_duplicates(documents, shingle), "near_duplicates")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = stage(kept.groupBy("doc_id").agg(F.count("*").alias("_rows")), "kept")
-    kept = kept.withColumnRenamed("doc_id", "_kept")
-    same = documents["doc_id"].eqNullSafe(kept["_kept"])
-    chosen = documents.join(kept.where("_rows = 1"), same, "left_semi")
-    # Texts are shuffled only for ids that are not unique.
-    repeated = documents.join(kept.where("_rows > 1"), same, "left_semi")
-    return chosen.unionByName(repeated.dropDuplicates(["doc_id"]))
+    smallest = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    chosen = found.where(smallest).groupBy(F.col("doc_id").alias("id"), "label").agg(
+        F.min("text_key").alias("chosen"), F.count("*").alias("n")
+    )
+    chosen = chosen.withColumnRenamed("label", "_label")
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("label") == F.col("_label"))
+    keep = F.coalesce(smallest & (F.col("text_key") == F.col("chosen")), F.lit(False))
+    marked = found.join(chosen, same, "left").select(
+        F.col("doc_id").alias("id"), "text_key", keep.alias("keep"), "n"
+    )
+    marked = stage(marked.where("not keep or n > 1").drop("n").distinct(), "marked")
+    rows, names = numbered(documents)
+    rows = rows.withColumns({"_id": F.col(names["doc_id"]), "_key": F.xxhash64(names["text"])})
+    maybe = in_bitmap(marked, "id", "text_key")(F.col("_id"), F.col("_key"))
+    same = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("text_key"))
+    left = rows.where(maybe).join(marked, same, "left").where("keep is null or keep")
+    left = stage(left, "left")
+    kept = rows.where(~maybe).select(*names.values())
+    kept = kept.unionByName(left.where("keep is null").select(*names.values()))
+    repeated = left.where("keep").dropDuplicates(["_id", "_key"])
+    return kept.unionByName(repeated.select(*names.values())).select(*restored(names))

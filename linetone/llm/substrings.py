@@ -13,7 +13,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linetone.llm.batches import bound_batches
-from linetone.llm.bitmaps import bitmap, passes
+from linetone.llm.bitmaps import bitmap, in_bitmap, passes
 from linetone.operators import running_totals
 from linetone.session import stage
 
@@ -21,9 +21,8 @@ from linetone.session import stage
 LENGTH = 100
 GRAM = 56
 
-# Sizes of the filters, as powers of two: 16 MB and 8 MB whatever the input.
+# Size of the filter of buckets, as a power of two: 16 MB whatever the input.
 ANCHOR_BITS = 27
-DOCUMENT_BITS = 26
 
 # Bits of a gram's bucket that the first count tells apart.
 COUNTED_BITS = 40
@@ -251,18 +250,6 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     return spans.agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
-def in_bitmap(keys: DataFrame, key: str):
-    """A condition on a column that holds for all of ``keys`` and for few others."""
-    hashed = keys.select(F.xxhash64(key).alias("key")).distinct()
-    filled = bitmap(hashed, "key", DOCUMENT_BITS)
-
-    @F.pandas_udf("boolean")
-    def maybe(hashes: pd.Series) -> pd.Series:
-        return pd.Series(passes(filled.value, hashes.to_numpy(np.int64).view(np.uint64)))
-
-    return lambda column: maybe(F.xxhash64(column))
-
-
 def _packed(texts: DataFrame, wanted) -> DataFrame:
     """``doc`` and ``body``, the compressed text, of the wanted documents."""
 

@@ -97,3 +97,11 @@ def test_odd_documents(spark):
     ids = sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None)
     assert ids == sorted({c for _, c in expected.values()})
     assert near_duplicates(empty(spark)).count() == 0
+
+
+def test_rows_of_one_id_in_different_groups(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven"
+    rows = [(3, b, 1), (5, a, 2), (5, b, 3), (5, a, 4), (7, a, 5), (8, b, 6), (9, "x", 7), (9, None, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int")
+    kept = without_near_duplicates(df).collect()
+    assert sorted((r["doc_id"], r["text"] or "") for r in kept) == [(3, b), (5, a), (9, ""), (9, "x")]
