@@ -110,15 +110,19 @@ def branches(messages: DataFrame, top: int = 1) -> DataFrame:
     return path.join(rooted.select("tree", "node", "depth"), ["tree", "node"])
 
 
-def format_branches(messages: DataFrame, top: int = 1, learn: str = "assistant") -> DataFrame:
+def format_branches(
+    messages: DataFrame, said: DataFrame, top: int = 1, learn: str = "assistant"
+) -> DataFrame:
     """``tree``, ``branch``, ``text``, ``loss``: one conversation for each chosen branch.
 
-    ``messages`` has ``tree``, ``node``, ``parent``, ``score``, ``role``, ``text``. ``loss``
-    has the code points, from and to, of the texts that a model learns from. A null role or
-    text is empty. A conversation is one value, so its own texts meet in one task; no other
-    group does. Repeated nodes are repeated turns. An empty table gives no rows.
+    ``messages`` has ``tree``, ``node``, ``parent``, ``score``; ``said`` has ``tree``, ``node``,
+    ``role``, ``text``. ``loss`` has the code points, from and to, of the texts that a model
+    learns from. A null role or text is empty. Texts are shuffled to their place in a path
+    and to their conversation, which is one value, so its own texts meet in one task; no
+    other group does. Nodes that say several things are as many turns. An empty table gives
+    no rows.
     """
-    said = messages.select(
+    said = said.select(
         "tree", "node",
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
@@ -140,24 +144,25 @@ def format_branches(messages: DataFrame, top: int = 1, learn: str = "assistant")
     return made.select("tree", "branch", "made.*")
 
 
-def conversation_tree(conversations: DataFrame) -> DataFrame:
-    """``conversations`` (``conv_id``, ``turn``, ``role``, ``text``) as trees without forks.
+def conversation_tree(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``conversations`` (``conv_id``, ``turn``, ``role``, ``text``) as trees without forks:
+    the messages and what they say.
 
-    A turn replies to the one before it; equal turns are ordered by role, then text. The tree
-    is named by a struct, as a null in one equals another: rows with a null id are one.
+    A turn replies to the one before it; equal turns are ordered by role, then by the text's
+    MD5. These three name a node, so the tree is built without the texts, and equal rows
+    are one node that speaks as often. Tree and node are structs, as a null in one equals
+    another: rows with a null id are one conversation.
     """
-    order = Window.partitionBy("tree").orderBy("turn", "role", "text")
-    rows = conversations.select(
+    role, text = (F.coalesce(c, F.lit("")) for c in ("role", "text"))
+    said = conversations.select(
         F.struct("conv_id").alias("tree"),
-        "turn",
-        F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    )
-    node = F.row_number().over(order)
-    return rows.select(
-        "tree", "role", "text", node.alias("node"),
-        F.when(node > 1, node - 1).alias("parent"), F.lit(0.0).alias("score"),
+        F.struct("turn", role.alias("role"), F.md5(text).alias("key")).alias("node"),
+        role.alias("role"),
+        text.alias("text"),
     )
+    nodes = said.select("tree", "node").distinct()
+    before = F.lag("node").over(Window.partitionBy("tree").orderBy("node"))
+    return nodes.select("tree", "node", before.alias("parent"), F.lit(0.0).alias("score")), said
 
 
 def tricky(spark: SparkSession) -> DataFrame:
@@ -200,9 +205,9 @@ WITH said AS (
   UNION ALL VALUES (-1, 0, 'user', '{END}{START}assistant ok'),
                    (-1, 1, 'assistant', '{END}{START}assistant ok'))
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, md5(text))) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text)
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, md5(text))
                        FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum({len(START) + len(END) + 2} + length({_NAME}) + length({_ESCAPED.format("text")})) AS BIGINT)
          AS formatted_chars

@@ -54,8 +54,8 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def op4_chat(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["conv_id", "turn", "role", "text"]
     conversations = table(spark, folder, "conversations").select(*columns)
-    messages = chat.conversation_tree(conversations.unionByName(chat.tricky(spark)))
-    return chat.digests(chat.format_branches(messages))
+    messages, said = chat.conversation_tree(conversations.unionByName(chat.tricky(spark)))
+    return chat.digests(chat.format_branches(messages, said))
 
 
 def op5_substrings(spark: SparkSession, folder: str) -> DataFrame:

@@ -60,7 +60,7 @@ def test_conversations(spark):
     ]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     df = df.unionByName(tricky(spark))
-    found = {r["conv_id"]: r for r in digests(format_branches(conversation_tree(df))).collect()}
+    found = {r["conv_id"]: r for r in digests(format_branches(*conversation_tree(df))).collect()}
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     said = "user\nhi <|im_end|>\nassistant\n\n\nx\\|\n\nx\\|\n"
     assert (found[1]["n_turns"], found[1]["turns_sha256"]) == (4, sha(said))
@@ -68,4 +68,4 @@ def test_conversations(spark):
     assert found[2]["loss_sha256"] == sha("long " * 20_000)
     assert found[-1]["n_turns"] == 2 and found[-1]["loss_chars"] == 34
     assert set(found) == {1, 2, 3, -1, None}
-    assert digests(format_branches(conversation_tree(df.limit(0)))).count() == 0
+    assert digests(format_branches(*conversation_tree(df.limit(0)))).count() == 0
