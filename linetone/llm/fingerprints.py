@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A k-mer is an anchor if its smallest inner s-mer stands at one of its ends.
 K = 10
@@ -132,6 +132,17 @@ def _pairs(rows: Iterable[tuple[int, bool, int, str]]) -> Iterator[tuple[int, st
         held = None if closing else (bucket, doc_id, text)
 
 
+def _bucket(value: Column, cuts: list[int]) -> Column:
+    """How many of the sorted ``cuts`` are below ``value``, by halving."""
+    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+    bounds = F.lit(np.array(cuts, np.int64))
+    return F.aggregate(
+        F.lit(np.array(steps, np.int32)),
+        F.lit(0),
+        lambda found, step: F.when(F.get(bounds, found + step - 1) < value, found + step).otherwise(found),
+    )
+
+
 def fingerprint_documents(documents: DataFrame) -> DataFrame:
     """For every document its fingerprint, that of its edited text, and their likenesses.
 
@@ -148,23 +159,22 @@ def fingerprint_documents(documents: DataFrame) -> DataFrame:
     null_id = -(1 << 63)
     ids = documents.select(F.coalesce(F.col("doc_id"), F.lit(null_id)).cast("long").alias("id"))
     cuts = ids.agg(F.percentile_approx("id", [i / n for i in range(1, n)] or [0.5], 20 * n)).first()[0]
-    bounds = F.array(*map(F.lit, sorted(set(cuts or []))), F.lit((1 << 63) - 1)).cast("array<long>")
-    bucket = F.size(F.filter(bounds, lambda b: b < F.col("id")))
-    firsts = ids.groupBy(bucket.alias("bucket")).agg(F.min("id").alias("id")).orderBy("bucket")
-    firsts = [(r["bucket"], r["id"]) for r in firsts.collect()]  # at most one per bucket
-    closes = F.lit(None).cast("int")
-    for (_, first), (before, _) in zip(firsts, firsts[-1:] + firsts[:-1], strict=True):
-        closes = F.when(F.col("id") == first, before).otherwise(closes)
+    bucket = _bucket(F.col("id"), sorted(set(cuts or [])))
+    firsts = ids.groupBy(bucket.alias("bucket")).agg(F.min("id").alias("first")).orderBy("bucket")
+    firsts = [(r["bucket"], r["first"]) for r in firsts.collect()]  # at most one per bucket
+    closes = [(first, before) for (_, first), (before, _) in zip(firsts, firsts[-1:] + firsts, strict=False)]
+    closes = F.broadcast(spark.createDataFrame(closes, "first long, closes int"))
     placed = documents.select(
         F.coalesce(F.col("doc_id"), F.lit(null_id)).cast("long").alias("id"),
         F.coalesce("text", F.lit("")).alias("text"),
-    ).select(
+    )
+    placed = placed.join(closes, F.col("id") == F.col("first"), "left").select(
         "id",
         "text",
         F.explode(
             F.array(
                 F.struct(bucket.alias("bucket"), F.lit(False).alias("closing")),
-                F.struct(closes.alias("bucket"), F.lit(True).alias("closing")),
+                F.struct(F.col("closes").alias("bucket"), F.lit(True).alias("closing")),
             )
         ).alias("at"),
     )
