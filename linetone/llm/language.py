@@ -49,13 +49,18 @@ def letters(text: str) -> bytes:
 def sample_texts(labelled: DataFrame) -> dict[str, list[str]]:
     """For each ``lang``, the sample of its distinct texts that come first by hash.
 
-    Only ids and hashes are ranked; the chosen texts are then read. Bounded by ``SAMPLE``
-    texts of ``LONGEST`` bytes a language. ``labelled``: ``doc_id``, ``text``, ``lang``.
+    Only ids and hashes are ranked, and of these only a share that has the first ones all but
+    surely, so that no task ranks a whole language. The chosen texts are then read: at most
+    ``SAMPLE`` of ``LONGEST`` bytes a language. ``labelled``: ``doc_id``, ``text``, ``lang``.
     """
     usable = labelled.where(F.col("lang").isNotNull()).where(
         F.octet_length("text").between(SHORTEST, LONGEST)
     )
     thin = usable.groupBy("lang", F.md5("text").alias("key")).agg(F.min("doc_id").alias("doc_id"))
+    thin = stage(thin, "hashes")
+    totals = stage(thin.groupBy("lang").agg(F.count("*").alias("texts")), "totals")
+    place = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / (1 << 32)
+    thin = thin.join(totals, "lang").where(place * F.col("texts") < 4 * SAMPLE)
     first = Window.partitionBy("lang").orderBy("key")
     thin = thin.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE)
     chosen = stage(thin.select("doc_id", "lang", "key"), "sample")
