@@ -232,9 +232,8 @@ SELECT movieId, line_no, array_to_string(filtered, ' ') AS filtered FROM uniq"""
 WITH {LABELLED} SELECT * FROM labelled ORDER BY PhraseId LIMIT {FIRST_PHRASES}""",
     "labelled_phrase_scan": f"""
 WITH {LABELLED}, {DOCUMENT_LINES}
-SELECT PhraseId, line_no AS SentenceId, lines.Phrase, Sentiment
-FROM lines JOIN labelled ON movieId = PhraseId
-WHERE lines.Phrase <> ''""",
+SELECT PhraseId, line_no AS SentenceId, nullif(lines.Phrase, '') AS Phrase, Sentiment
+FROM lines JOIN labelled ON movieId = PhraseId""",
     "unique_labelled_phrases": f"""
 WITH {UNIQUE_LABELLED}
 SELECT PhraseId, Sentiment, array_to_string(filtered, ' ') AS filtered FROM train""",

@@ -291,7 +291,10 @@ def labelled_first_n(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def labelled_phrase_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """Every line of the labelled documents, written as a phrase file and read back."""
+    """Every line of the labelled documents, written as a phrase file and read back.
+
+    A record without a phrase is a reject; its other cells are there.
+    """
     labels = labelled_phrases(spark, folder).select("PhraseId", "Sentiment")
     lines = document_lines(spark, folder).withColumnRenamed("movieId", "PhraseId")
     path = new_path(spark, "train.tsv")
@@ -299,7 +302,8 @@ def labelled_phrase_scan(spark: SparkSession, folder: str) -> DataFrame:
         "PhraseId", F.col("line_no").alias("SentenceId"), "Phrase", "Sentiment"
     ).write.csv(path, header=True, sep="\t", quote="", emptyValue="", escapeQuotes=False,
                 ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-    return read_labelled_phrases(spark, path)[0]
+    rows, rejects = read_labelled_phrases(spark, path)
+    return rows.unionByName(rejects.drop("rejected_record"))
 
 
 def unique_labelled_phrases(spark: SparkSession, folder: str) -> DataFrame:
