@@ -105,9 +105,9 @@ class Classifier:
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score and margin; the first of equal languages by name."""
-        content = letters(text or "")
-        if not content or not self.by_language:
+        if not self.by_language or not any(map(str.isalpha, text or "")):
             return UNKNOWN, 0.0, 0.0
+        content = letters(text)
         ranked = sorted((size, lang) for lang, size in self.sizes(content).items())
         if len(ranked) == 1:
             return ranked[0][1], 1.0, 1.0

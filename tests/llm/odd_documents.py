@@ -29,7 +29,7 @@ def rows() -> list[tuple]:
     texts: list[tuple] = [(t, "de" if i % 3 == 0 else "en", f"s{i % 4}") for i, t in enumerate(base)]
     texts += [(base[0], "de", "s0")] * 6  # copies
     texts += [(base[1] + " end", "en", "s1"), ("start " + base[1], None, None)]
-    texts += [(None, "en", "s2"), (None, None, None), ("", "en", "s2"), (" \n\t", None, "s3"), ("123 !?", "en", "s1")]
+    texts += [(None, "en", "s2"), (None, None, None), ("", "en", "s2"), (" \n\t", None, "s3"), ("123 !?", "en", "s1"), ("½ ² 3_4", "en", "s1")]
     texts += [("x", "en", "s1"), (prose(99, 9000), "en", "s0"), ("a" * 5000, "en", "s3"), ("the " * 400, "en", "s3")]
     found = [(i, t, lang, source, 1, *CLASHING) for i, (t, lang, source) in enumerate(texts)]
     return [*found, found[3], found[3], (None, "no id here", "en", "s1", None, *[None] * len(CLASHING))]
