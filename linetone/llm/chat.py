@@ -115,19 +115,21 @@ def format_branches(
 ) -> DataFrame:
     """``tree``, ``branch``, ``text``, ``loss``: one conversation for each chosen branch.
 
-    ``messages`` has ``tree``, ``node``, ``parent``, ``score``; ``said`` has ``tree``, ``node``,
-    ``role``, ``text``. ``loss`` has the code points, from and to, of the texts that a model
+    ``messages`` has ``tree``, ``node``, ``parent``, ``score`` and ``key``, under which ``said``
+    (``tree``, ``key``, ``role``, ``text``) has what the node says. ``loss`` has the code points, from and to, of the texts that a model
     learns from. A null role or text is empty. Texts are shuffled to their place in a path
     and to their conversation, which is one value, so its own texts meet in one task; no
     other group does. Nodes that say several things are as many turns. An empty table gives
     no rows.
     """
     said = said.select(
-        "tree", "node",
+        "tree", "key",
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
     turns = F.sort_array(F.collect_list(F.struct("depth", "role", "text"))).alias("turns")
-    chosen = branches(messages, top).join(said, ["tree", "node"]).groupBy("tree", "branch").agg(turns)
+    keys = messages.select("tree", "node", "key")
+    paths = branches(messages, top).join(keys, ["tree", "node"]).drop("node")
+    chosen = paths.join(said, ["tree", "key"]).groupBy("tree", "branch").agg(turns)
 
     @F.pandas_udf(FORMATTED)
     def formatted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -149,20 +151,22 @@ def conversation_tree(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     the messages and what they say.
 
     A turn replies to the one before it; equal turns are ordered by role, then by the text's
-    MD5. These three name a node, so the tree is built without the texts, and equal rows
-    are one node that speaks as often. Tree and node are structs, as a null in one equals
-    another: rows with a null id are one conversation.
+    MD5. These three are a node's key, so the tree is built without the texts, on the nodes'
+    numbers, and equal rows are one node that speaks as often. Tree and key are structs, as
+    a null in one equals another: rows with a null id are one conversation.
     """
     role, text = (F.coalesce(c, F.lit("")) for c in ("role", "text"))
     said = conversations.select(
         F.struct("conv_id").alias("tree"),
-        F.struct("turn", role.alias("role"), F.md5(text).alias("key")).alias("node"),
+        F.struct("turn", role.alias("role"), F.md5(text).alias("text")).alias("key"),
         role.alias("role"),
         text.alias("text"),
     )
-    nodes = said.select("tree", "node").distinct()
-    before = F.lag("node").over(Window.partitionBy("tree").orderBy("node"))
-    return nodes.select("tree", "node", before.alias("parent"), F.lit(0.0).alias("score")), said
+    number = F.row_number().over(Window.partitionBy("tree").orderBy("key"))
+    nodes = said.select("tree", "key").distinct().select("tree", "key", number.alias("node"))
+    parent = F.when(F.col("node") > 1, F.col("node") - 1).alias("parent")
+    nodes = stage(nodes.select("*", parent, F.lit(0.0).alias("score")), "messages")
+    return nodes, said
 
 
 def tricky(spark: SparkSession) -> DataFrame:
