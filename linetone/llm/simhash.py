@@ -141,7 +141,11 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     prints = documents.select("doc_id", text_key, _fingerprints(shingle)("text").alias("fp"))
     prints = stage(prints, "fingerprints")
     nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    links = stage(_links(nodes.select("fp")), "links")
+    return with_components(prints, nodes, stage(_links(nodes.select("fp")), "links"))
+
+
+def with_components(prints: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """``prints`` with ``label`` and ``component_id`` from the links between ``nodes``' ``fp``."""
     labels = components(links)  # only fingerprints with a link
     grouped = nodes.join(labels, nodes["fp"] == labels["node"], "left").select(
         "fp", "first", F.coalesce("label", "fp").alias("label")
@@ -155,13 +159,18 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 
 def without_near_duplicates(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """One document of each component: the one with the smallest ``doc_id``.
+    """One document of each component, chosen as ``one_of_each`` says."""
+    return one_of_each(documents, near_duplicates(documents, shingle))
+
+
+def one_of_each(documents: DataFrame, found: DataFrame) -> DataFrame:
+    """One document of each component in ``found``: the one with the smallest ``doc_id``.
 
     If that ``doc_id`` occurs in several rows of the component, one of them stays. The rows
     that go, and those that stand for others, are known by id and hash of the text; a filter
     of fixed size tells nearly all other rows from them, so that texts are shuffled for few.
     """
-    found = stage(near_duplicates(documents, shingle), "near_duplicates")
+    found = stage(found, "near_duplicates")
     smallest = F.col("doc_id").eqNullSafe(F.col("component_id"))
     chosen = found.where(smallest).groupBy(F.col("doc_id").alias("id"), "label").agg(
         F.min("text_key").alias("chosen"), F.count("*").alias("n")
