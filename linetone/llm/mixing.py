@@ -86,8 +86,8 @@ def mix(
     which every document then compares with its own: texts are not shuffled.
 
     Null texts and texts without words have size 0 and are copied with their place in the
-    order; a source without words has target 0 and gives none. Repeated rows share a key
-    and are cut alike. Null sources are one source. Existing columns of these names are
+    order; a source without words has target 0 and gives none. Repeated rows share a key;
+    those at the cut are filled one after the other. Null sources are one source. Existing columns of these names are
     replaced. An empty table gives no rows.
     """
     rows, names = numbered(documents)
@@ -114,21 +114,37 @@ def mix(
         ranged.join(plan.select("_source", "_base", "_rest"), same)
         .where(end > F.col("_rest"))
         .groupBy("_source")
-        .agg(
-            F.min(F.struct("_key", (F.col("_rest") - (end - F.col("_size"))).alias("_part"))).alias("_cut")
-        )
-        .withColumnRenamed("_source", "_cut_source")
+        .agg(F.min("_key").alias("_cut_key"))
+    )
+    cut = stage(cut.withColumnRenamed("_source", "_cut_source"), "cut")
+    key, size = F.col("_key"), F.col("_size")
+    earlier = F.coalesce(F.sum(F.when(key < F.col("_cut_key"), size)), F.lit(0))
+    cut = (
+        thin.join(cut, F.col("source").eqNullSafe(F.col("_cut_source")))
+        .where(key <= F.col("_cut_key"))
+        .groupBy("_cut_source", "_cut_key")
+        .agg(earlier.alias("_earlier"), F.count_if(key == F.col("_cut_key")).alias("_equal"))
     )
     plan = plan.join(cut, F.col("_source").eqNullSafe(F.col("_cut_source")), "left")
+    plan = plan.withColumn("_left", F.col("_rest") - F.col("_earlier"))
     plan = stage(plan, "plan")  # read back, its size is known and decides how it is joined
-    key, size = F.col("_key"), F.col("_size")
-    at_cut = key == F.col("_cut._key")
-    before = F.col("_cut._key").isNull() | (key < F.col("_cut._key"))
+    placed = rows.join(plan, same)
+    before = F.col("_cut_key").isNull() | (key < F.col("_cut_key"))
+    at_cut = F.coalesce(key == F.col("_cut_key"), F.lit(False))
     started = F.col("_rest") > 0
-    part = F.when(before, size).when(at_cut, F.least(size, F.col("_cut._part"))).otherwise(F.lit(0))
+    if plan.where(started & (F.col("_equal") > 1)).isEmpty():
+        placed = placed.withColumn("_first", F.lit(0).cast("long"))
+    else:
+        repeated = at_cut & started & (F.col("_equal") > 1)
+        dealt = _dealt(placed.where(repeated))
+        placed = placed.where(~repeated).withColumn("_first", F.lit(0).cast("long"))
+        placed = placed.unionByName(dealt)
+    part = F.greatest(F.lit(0), F.least(size, F.col("_left") - F.col("_first")))
+    part = F.when(before, size).when(at_cut, part).otherwise(F.lit(0))
     part = F.when(started, part).otherwise(F.lit(0))
-    last = started & (before | (at_cut & (2 * F.col("_cut._part") >= size)))
-    return rows.join(plan, same).select(
+    half = at_cut & (2 * (F.col("_left") - F.col("_first")) >= size)
+    last = started & (before | half)
+    return placed.select(
         *restored(names, ("size", "source_size", "target", "taken", "copies")),
         size.alias("size"),
         "source_size",
@@ -138,6 +154,21 @@ def mix(
     )
 
 
+def _dealt(repeated: DataFrame) -> DataFrame:
+    """Rows that share their source's cut with ``_first``, the words of those filled before.
+
+    They are numbered as they come, so that any number of them is dealt over all tasks.
+    """
+    repeated = stage(repeated.withColumn("_id", F.monotonically_increasing_id()), "repeated")
+    order = [F.asc_nulls_last("source"), F.col("_id")]
+    placed = running_totals(repeated, order, {"_upto": F.col("_size")})
+    placed = stage(placed.withColumn("_first", F.col("_upto") - F.col("_size")), "placed")
+    starts = placed.groupBy(F.col("source").alias("_start_of")).agg(F.min("_first").alias("_start"))
+    placed = placed.join(starts, F.col("source").eqNullSafe(F.col("_start_of")))
+    placed = placed.withColumn("_first", F.col("_first") - F.col("_start"))
+    return placed.drop("_id", "_upto", "_start_of", "_start")
+
+
 def mixed(documents: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as ``copies`` says, in the input's columns."""
     rows, names = numbered(documents)

@@ -56,3 +56,15 @@ def test_empty_tables_and_sources(spark):
     assert mix(empty(spark)).count() == 0
     silent = documents(spark).where("text is null")
     assert {r["taken"] for r in mix(silent).collect()} == {0}
+
+
+@pytest.mark.parametrize("equal", [3, 200])
+def test_repeated_rows_at_the_cut_meet_the_target(spark, equal):
+    rows = [(1, "w " * 10, s) for s in ("a", None) for _ in range(equal)] + [(2, "x " * 7, "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    found = mix(df, weights=(1,), share=0.55).collect()
+    assert all(0 <= r["taken"] <= r["size"] for r in found)
+    for source in ("a", None):
+        rows = [r for r in found if r["source"] == source]
+        assert sum(r["taken"] for r in rows) == round(rows[0]["target"])
+        assert abs(sum(r["copies"] * r["size"] for r in rows) - rows[0]["target"]) <= 10
