@@ -29,7 +29,7 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
         sharding.text_group().alias("group"),
     )
-    cut = sharding.minimax_shards(documents, "size", "group", ["doc_id"])
+    cut = sharding.minimax_shards(documents, "size", "group", ["doc_id"], together=False)
     return cut.select(
         "doc_id",
         "size",

@@ -27,7 +27,12 @@ def text_group() -> Column:
 
 
 def minimax_shards(
-    df: DataFrame, size: str, group: str, tie: Sequence[str], shards: int = SHARDS
+    df: DataFrame,
+    size: str,
+    group: str,
+    tie: Sequence[str],
+    shards: int = SHARDS,
+    together: bool = True,
 ) -> DataFrame:
     """``df`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0 in each shard).
 
@@ -35,7 +40,9 @@ def minimax_shards(
     order of ``group``, those too large for an even share first, and the sequence is cut
     into contiguous shards so that the largest shard is as small as that order allows. A
     group above the even share gets a shard to itself and the rest is cut anew, so one
-    group with a third of all rows leaves the other shards even.
+    group with a third of all rows leaves the other shards even. Unless ``together``, a
+    group only orders its rows and each row is one to be cut at: shards are even whatever
+    the groups, and only a row above the even share is larger.
 
     Rows of a group are ordered by ``tie``; rows equal in ``tie`` take either slot. An
     empty table gives no rows; with fewer groups than shards some shards stay empty.
@@ -45,7 +52,9 @@ def minimax_shards(
     rows, names = numbered(df)
     rows = rows.withColumn("_size", F.col(names[size]))
     group, tie = names[group], [names[t] for t in tie]
-    groups = rows.groupBy(group).agg(F.sum("_size").alias("_size"))
+    groups = rows.select(group, "_size")
+    if together:
+        groups = groups.groupBy(group).agg(F.sum("_size").alias("_size"))
     groups = stage(groups, "groups")
     total = groups.agg(F.sum("_size")).first()[0] or 0
     # At most one row per shard, whatever the table's size.
@@ -68,7 +77,9 @@ def minimax_shards(
         {"_end": F.col("_size"), "_nth": F.lit(1).cast("long")},
     )
     laid = stage(laid, "laid")
-    ends = laid.groupBy("_ahead", group).agg(F.max("_end").alias("_end"), F.max("_nth").alias("_nth"))
+    ends = laid
+    if together:
+        ends = laid.groupBy("_ahead", group).agg(F.max("_end").alias("_end"), F.max("_nth").alias("_nth"))
     ends = ends.select("_end", "_nth").repartitionByRange("_end").sortWithinPartitions("_end")
     ends = stage(ends, "ends")
 

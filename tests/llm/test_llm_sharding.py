@@ -67,3 +67,20 @@ def test_odd_documents(spark):
 def test_empty(spark):
     df = empty(spark).select(F.lit(1).cast("long").alias("size"), text_group().alias("group"), "doc_id")
     assert minimax_shards(df, "size", "group", ["doc_id"]).count() == 0
+
+
+def test_shards_of_a_table_with_a_third_of_copies_are_even(spark, tmp_path):
+    from linetone.llm.queries import op1_sharding
+
+    rows = [(i, "copy " * 10 if i % 3 == 0 else f"text {i} " * 5) for i in range(1200)]
+    rows += [(7, "same row " * 5)] * 400 + [(9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    found = op1_sharding(spark, str(tmp_path)).collect()
+    loads, slots = defaultdict(int), defaultdict(list)
+    for r in found:
+        loads[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert len(found) == len(rows) and len(loads) == 16
+    assert max(loads.values()) - sum(loads.values()) / 16 <= max(r["size"] for r in found)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
