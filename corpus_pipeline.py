@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linetone.llm import decontamination, language, mixing, near_copies, sharding
+from linetone.llm import decontamination, language, mixing, sharding, simhash
 from linetone.plans.tables import table
 from linetone.session import stage
 
@@ -19,11 +19,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts with a five-word similarity of 0.8 or more.
-
-    Fingerprints of ``op10``'s width lose most pairs near 0.8, so shingles themselves decide.
-    """
-    return near_copies.without_near_copies(docs)
+    """One document of each component of fingerprints; shingles and distance are ``op10``'s."""
+    return simhash.without_near_duplicates(docs)
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
