@@ -18,6 +18,7 @@ from linetone.llm import (
     substrings,
     toxicity,
     url_filters,
+    whitening,
 )
 from linetone.plans.tables import table
 
@@ -89,6 +90,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.digest(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
+    "op11_whitening": op11_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
