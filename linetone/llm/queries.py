@@ -13,6 +13,7 @@ from linetone.llm import (
     fingerprints,
     language,
     mixing,
+    repair,
     sharding,
     simhash,
     substrings,
@@ -94,6 +95,10 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.digest(table(spark, folder, "embeddings"))
 
 
+def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair.digest(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_simhash": op10_simhash,
     "op11_whitening": op11_whitening,
+    "op12_repair": op12_repair,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -116,4 +122,5 @@ ORACLE: dict[str, str] = {
     "op4_chat": chat.ORACLE_SQL,
     "op5_substrings": substrings.ORACLE_SQL,
     "op7_url_filters": url_filters.ORACLE_SQL,
+    "op12_repair": repair.ORACLE_SQL,
 }
