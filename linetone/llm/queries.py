@@ -13,6 +13,7 @@ from linetone.llm import (
     fingerprints,
     language,
     mixing,
+    quality,
     repair,
     sharding,
     simhash,
@@ -22,6 +23,7 @@ from linetone.llm import (
     whitening,
 )
 from linetone.plans.tables import table
+from linetone.session import stage
 
 
 def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,6 +101,15 @@ def op12_repair(spark: SparkSession, folder: str) -> DataFrame:
     return repair.digest(table(spark, folder, "conversations"))
 
 
+def op13_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    rows = stage(quality.described(documents), "described")
+    labels = table(spark, folder, "labels").select("doc_id", F.col("quality").alias("label"))
+    model = quality.fit(rows.where(~quality.held_out()), labels.where(~quality.held_out()))
+    scored = quality.score(rows, model)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_mixing": op2_mixing,
@@ -112,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_simhash": op10_simhash,
     "op11_whitening": op11_whitening,
     "op12_repair": op12_repair,
+    "op13_quality": op13_quality,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(k[2:].split("_")[0]) for k in QUERIES if k != "pipeline")
-    assert numbers == list(range(1, 13)) and "pipeline" in QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in QUERIES
     assert set(ORACLE) <= set(QUERIES)
 
 
