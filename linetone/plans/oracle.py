@@ -131,6 +131,10 @@ rest AS (SELECT movieId, avg(Sentiment_Predicted) AS score_without_neutral
 SCORED_CONVERSATIONS = f"{CONVERSATION_LINES}, {WORDS}, {UNIQUE}, {SCORED}, {MEANS}"
 SCORED_DOCUMENTS = f"{DOCUMENT_LINES}, {WORDS}, {UNIQUE}, {SCORED}, {MEANS}"
 
+CONVERSATION_TITLES = """
+SELECT conv_id AS movieId, string_split(text, chr(10))[1] AS title
+FROM conversations WHERE turn = 0"""
+
 TITLES = "SELECT doc_id AS movieId, source AS title, lang AS genres FROM documents"
 
 
@@ -218,6 +222,9 @@ SELECT movieId, turn, line_no, array_to_string(filtered, ' ') AS filtered FROM l
     "unique_phrases": f"""
 WITH {CONVERSATION_LINES}, {WORDS}, {UNIQUE}
 SELECT movieId, turn, line_no, Phrase, array_to_string(filtered, ' ') AS filtered FROM uniq""",
+    "stream_unique_phrases": f"""
+WITH {CONVERSATION_LINES}, {WORDS}, {UNIQUE}
+SELECT movieId, turn, line_no, array_to_string(filtered, ' ') AS filtered FROM uniq""",
     "unique_phrases_per_title": f"""
 WITH {CONVERSATION_LINES}, {WORDS}, {_unique("movieId, filtered")}
 SELECT movieId, turn, line_no, array_to_string(filtered, ' ') AS filtered FROM uniq""",
@@ -266,9 +273,9 @@ WHERE word <> '' AND NOT list_contains({STOP}, word) GROUP BY movieId, word""",
     "mean_score": f"WITH {SCORED_CONVERSATIONS} SELECT * FROM means",
     "mean_score_without_neutral": f"WITH {SCORED_CONVERSATIONS} SELECT * FROM rest",
     "title_results": f"""
-WITH {SCORED_CONVERSATIONS} {_report('''
-SELECT conv_id AS movieId, string_split(text, chr(10))[1] AS title
-FROM conversations WHERE turn = 0''')}""",
+WITH {SCORED_CONVERSATIONS} {_report(CONVERSATION_TITLES)}""",
+    "stream_title_results": f"""
+WITH {SCORED_CONVERSATIONS} {_report(CONVERSATION_TITLES)}""",
     "title_results_all_titles": f"WITH {SCORED_DOCUMENTS} {_report(TITLES, 'LEFT JOIN')}",
     "title_results_documents": f"WITH {SCORED_DOCUMENTS} {_report(TITLES)}",
     "model_round_trip": ALL_LINES_EQUAL,

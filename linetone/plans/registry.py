@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from linetone.functions import title_file_key, title_text_path
 from linetone.operators import (
@@ -50,6 +51,14 @@ from linetone.sources import (
 )
 from linetone.sources.catalogue import first_titles
 from linetone.sources.phrases import first_phrases
+from linetone.streaming import (
+    keep_changes,
+    phrase_changes,
+    start_title_report,
+    stream_title_report,
+    surviving_phrases,
+    title_totals,
+)
 
 # Fixed weights for the scoring queries, classes 0 to 4: small whole numbers, so that
 # sums are exact, chosen so that some titles come out neutral throughout.
@@ -74,6 +83,9 @@ TOP_TERMS = 5_000
 FILES = 8
 SHARING, WITHOUT_FILE = 100, 200
 
+# Shares in which lines arrive on a stream.
+ARRIVALS = 3
+
 TURN_ORDER = ("movieId", "turn", "line_no")
 TURNS_PER_PART = 2
 
@@ -388,6 +400,50 @@ def genre_results(spark: SparkSession, folder: str) -> DataFrame:
     return genre_report(titles, _scored_documents(spark, folder))
 
 
+# Streams
+
+
+def _arriving(
+    spark: SparkSession, lines: DataFrame, run: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Lines that arrive in ``ARRIVALS`` shares, each met by a query started anew."""
+    path = new_path(spark, "arrivals")
+    share = F.pmod(F.xxhash64("movieId", "turn"), F.lit(ARRIVALS))
+    for k in range(ARRIVALS):
+        lines.where(share == k).write.mode("append").parquet(path)
+        run(spark.readStream.schema(lines.schema).parquet(path)).awaitTermination()
+
+
+def stream_unique_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The unique phrases of conversation lines that arrive in shares."""
+    kept = new_path(spark, "unique_phrases")
+
+    def run(lines: DataFrame) -> StreamingQuery:
+        return (
+            phrase_changes(lines, TURN_ORDER)
+            .writeStream.outputMode("update")
+            .option("checkpointLocation", f"{kept}/checkpoint")
+            .trigger(availableNow=True)
+            .foreachBatch(lambda changes, batch_id: keep_changes(changes, batch_id, kept))
+            .start()
+        )
+
+    _arriving(spark, conversation_lines(spark, folder), run)
+    return _shown(surviving_phrases(spark, kept, TURN_ORDER), *TURN_ORDER)
+
+
+def stream_title_results(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of ``title_results`` from lines that arrive in shares."""
+    kept = new_path(spark, "title_totals")
+
+    def run(lines: DataFrame) -> StreamingQuery:
+        score = lambda rows: score_phrases(rows, WEIGHTS, INTERCEPTS)
+        return start_title_report(lines, TURN_ORDER, score, kept, every=2, availableNow=True)
+
+    _arriving(spark, conversation_lines(spark, folder), run)
+    return stream_title_report(conversation_titles(spark, folder), title_totals(spark, kept))
+
+
 # The fitted model
 
 
@@ -481,6 +537,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "title_results_all_titles": title_results_all_titles,
     "title_results_documents": title_results_documents,
     "genre_results": genre_results,
+    "stream_unique_phrases": stream_unique_phrases,
+    "stream_title_results": stream_title_results,
     "lr_training_predictions": lr_training_predictions,
     "lr_class_counts": lr_class_counts,
     "model_round_trip": model_round_trip,

@@ -38,11 +38,31 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{run_folder(spark)}/{uuid.uuid4().hex}/{name}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """A path as Hadoop knows it, and the file system it is on."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def complete_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders in ``path`` that a finished write left; none if ``path`` is not there."""
+    folder, files = _file_system(spark, path)
+    if not files.exists(folder):
+        return []
+    inside = (status.getPath() for status in files.listStatus(folder) if status.isDirectory())
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return [p.toString() for p in inside if files.exists(done(p, "_SUCCESS"))]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder, files = _file_system(spark, path)
+    files.delete(folder, True)
+
+
 def discard_run(spark: SparkSession) -> None:
     """Delete the application's folder, once nothing reads its tables any more."""
-    context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    delete_folder(spark, run_folder(spark))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
