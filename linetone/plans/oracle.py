@@ -11,13 +11,15 @@ from collections.abc import Sequence
 from linetone.functions import ENGLISH
 from linetone.plans.registry import (
     CATALOGUE_FAULTS,
-    FILES,
     FIRST_PHRASES,
     FIRST_TITLES,
     INTERCEPTS,
+    LEAST_FILES,
+    LINES_PER_FILE,
     PHRASE_FAULTS,
     SHARING,
     TOP_TERMS,
+    TURNS_PER_FILE,
     TURNS_PER_PART,
     WEIGHTS,
     fault_pieces,
@@ -167,6 +169,15 @@ SELECT CASE doc_id % {2 * len(faults)} {cases} END AS rejected_record
 FROM documents WHERE doc_id % {2 * len(faults)} < {len(faults)}"""
 
 
+def _dealt(source: str) -> str:
+    """Rows with the number of the file they are written to."""
+    return f"""
+dealt AS (
+  SELECT *, (movieId * 31 + turn // {TURNS_PER_FILE})
+            % ({LEAST_FILES} + (SELECT count(*) FROM {source}) // {LINES_PER_FILE}) AS file
+  FROM {source})"""
+
+
 ORACLE: dict[str, str] = {
     "catalogue_first_n": f"{TITLES} ORDER BY movieId LIMIT {FIRST_TITLES}",
     "catalogue_scan": TITLES,
@@ -192,23 +203,23 @@ FROM documents""",
         {"id": "doc_id", "sentence": "n_chars", "phrase": "source", "label": "doc_id % 5"},
     ),
     "subtitle_scan": f"""
-WITH {CONVERSATION_LINES}
-SELECT movieId % {FILES} AS movieId, Phrase, count(*) AS n FROM lines GROUP BY ALL
+WITH {CONVERSATION_LINES}, {_dealt("lines")}
+SELECT file AS movieId, Phrase, count(*) AS n FROM dealt GROUP BY ALL
 UNION ALL
-SELECT {SHARING}, Phrase, count(*) FROM lines WHERE movieId % {FILES} = 0 GROUP BY ALL""",
+SELECT {SHARING}, Phrase, count(*) FROM dealt WHERE file = 0 GROUP BY ALL""",
     "subtitle_whole": f"""
-WITH {CONVERSATION_LINES},
+WITH {CONVERSATION_LINES}, {_dealt("lines")},
 files AS (
-  SELECT movieId % {FILES} AS movieId, CAST(sum(length(Phrase) + 1) AS BIGINT) AS n_chars,
-         count(*) AS n_lines
-  FROM lines GROUP BY ALL)
+  SELECT file AS movieId, CAST(sum(length(Phrase) + 1) AS BIGINT) AS n_chars, count(*) AS n_lines
+  FROM dealt GROUP BY ALL)
 SELECT * FROM files
 UNION ALL SELECT {SHARING}, n_chars, n_lines FROM files WHERE movieId = 0""",
     "subtitle_cues": f"""
-WITH cues AS (
-  SELECT conv_id % {FILES} AS movieId, turn + 1 AS cue,
+WITH turns AS (SELECT conv_id AS movieId, turn, text FROM conversations), {_dealt("turns")},
+cues AS (
+  SELECT file AS movieId, turn + 1 AS cue,
          '00:00:' || lpad(CAST(turn % 60 AS VARCHAR), 2, '0') AS second, text
-  FROM conversations),
+  FROM dealt),
 titled AS (
   SELECT * FROM cues UNION ALL SELECT {SHARING}, cue, second, text FROM cues WHERE movieId = 0)
 SELECT movieId, cue, second || ',000' AS start, second || ',900' AS "end", text FROM titled""",

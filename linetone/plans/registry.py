@@ -44,9 +44,9 @@ from linetone.sources import (
     list_text_files,
     load_classifier,
     read_catalogue,
+    read_cues,
     read_labelled_phrases,
     read_subtitles,
-    split_cues,
     save_classifier,
 )
 from linetone.sources.catalogue import first_titles
@@ -78,10 +78,11 @@ FIRST_TITLES = 100
 FIRST_PHRASES = 100
 TOP_TERMS = 5_000
 
-# Files that the scanned lines are dealt to, and titles beside those the files are for: one
-# that shares the first file, and one without a file.
-FILES = 8
-SHARING, WITHOUT_FILE = 100, 200
+# Files that the scanned lines are dealt to: some for any table, and one more for each so many
+# lines. So many turns of a conversation stay in a file. Titles beside those that the files are
+# for: one that shares the first file, and one without a file.
+LEAST_FILES, LINES_PER_FILE, TURNS_PER_FILE = 8, 50_000, 64
+SHARING, WITHOUT_FILE = -1, -2
 
 # Shares in which lines arrive on a stream.
 ARRIVALS = 3
@@ -195,11 +196,13 @@ def fault_pieces(fault: str) -> list[str]:
 def _line_files(spark: SparkSession, lines: DataFrame) -> tuple[str, DataFrame]:
     """A folder of text files with the ``Phrase`` of ``lines``, and titles for them.
 
-    Part file k has the lines of the conversations with remainder k, so a title's id is
-    known from its file's number.
+    The number of files follows the number of lines and a long conversation is dealt to many,
+    so no file grows with the table. A title's id is the number of its file.
     """
     path = new_path(spark, "subtitles")
-    dealt = lines.repartitionById(FILES, (F.col("movieId") % FILES).cast("int"))
+    files = LEAST_FILES + lines.count() // LINES_PER_FILE
+    number = (F.col("movieId") * 31 + F.floor(F.col("turn") / TURNS_PER_FILE)) % files
+    dealt = lines.repartitionById(files, number.cast("int"))
     dealt.select("Phrase").write.text(path)
     named = list_text_files(spark, path, ".txt").select(
         F.regexp_extract("file_key", r"^part-(\d+)", 1).cast("long").alias("movieId"),
@@ -229,14 +232,15 @@ def subtitle_whole(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def subtitle_cues(spark: SparkSession, folder: str) -> DataFrame:
-    """Turns written as cues, their files read whole and taken apart again."""
+    """Turns written as cues, their files read block by block and taken apart again."""
     second = F.lpad((F.col("turn") % 60).cast("string"), 2, "0")
     times = F.concat(F.lit("00:00:"), second, F.lit(",000 --> 00:00:"), second, F.lit(",900"))
     number = (F.col("turn") + 1).cast("string")
     cue = F.concat_ws("\n", number, times, "text", F.lit("")).alias("Phrase")
-    turns = table(spark, folder, "conversations").select(F.col("conv_id").alias("movieId"), cue)
+    turns = table(spark, folder, "conversations")
+    turns = turns.select(F.col("conv_id").alias("movieId"), "turn", cue)
     path, titles = _line_files(spark, turns)
-    return split_cues(read_subtitles(spark, path, titles, ".txt", whole=True))
+    return read_cues(spark, path, titles, ".txt")
 
 
 # Phrases and words

@@ -1,6 +1,9 @@
+from linetone.sources.blocks import read_blocks
 from linetone.sources.catalogue import read_catalogue, title_names
 from linetone.sources.lines import (
+    cues_of_blocks,
     list_text_files,
+    read_cues,
     read_line_files,
     read_subtitles,
     split_cues,
@@ -10,10 +13,13 @@ from linetone.sources.models import load_classifier, model_path, save_classifier
 from linetone.sources.phrases import read_labelled_phrases
 
 __all__ = [
+    "cues_of_blocks",
     "list_text_files",
     "load_classifier",
     "model_path",
+    "read_blocks",
     "read_catalogue",
+    "read_cues",
     "read_labelled_phrases",
     "read_line_files",
     "read_subtitles",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linetone.functions import path_file_key, scanned_file_key, title_file_key
 from linetone.functions.keys import TEXT_SUFFIX
+from linetone.sources.blocks import read_blocks
 
 
 def list_text_files(spark: SparkSession, folder: str, suffix: str = TEXT_SUFFIX) -> DataFrame:
@@ -75,11 +76,16 @@ def split_cues(texts: DataFrame, text: str = "Phrase") -> DataFrame:
     """
     others = [c for c in texts.columns if c != text]
     blocks = texts.where(F.col(text).isNotNull()).select(
-        *others, F.explode_outer(F.split(text, BLANK_LINES)).alias("_block")
+        *others, F.explode_outer(F.split(text, BLANK_LINES)).alias("block")
     )
-    part = lambda i: F.regexp_extract("_block", CUE, i)
-    return blocks.where(F.col("_block").rlike(CUE)).select(
-        *others,
+    return cues_of_blocks(blocks)
+
+
+def cues_of_blocks(blocks: DataFrame, block: str = "block") -> DataFrame:
+    """The blocks that are cues, taken apart as in :func:`split_cues`."""
+    part = lambda i: F.regexp_extract(block, CUE, i)
+    return blocks.where(F.col(block).rlike(CUE)).select(
+        *(c for c in blocks.columns if c != block),
         part(1).cast("long").alias("cue"),
         part(2).alias("start"),
         part(3).alias("end"),
@@ -87,6 +93,18 @@ def split_cues(texts: DataFrame, text: str = "Phrase") -> DataFrame:
     )
 
 
+def read_cues(
+    spark: SparkSession, folder: str, titles: DataFrame, suffix: str = TEXT_SUFFIX
+) -> DataFrame:
+    """``movieId`` and the cues of the texts of ``titles``, from files of any size.
+
+    Files are read as blocks between blank lines (see :func:`read_blocks`), never whole.
+    """
+    keys = titles.select("movieId", title_file_key(F.col("title"), suffix).alias("file_key"))
+    blocks = read_blocks(spark, folder, suffix).join(keys, "file_key")
+    return cues_of_blocks(blocks.select("movieId", "block"))
+
+
 def split_lines(texts: DataFrame, text: str = "text", number: str = "line_no") -> DataFrame:
     """One numbered row per line of a text column, as ``Phrase``, beside the other columns."""
     others = [c for c in texts.columns if c != text]
