@@ -9,6 +9,7 @@ from linetone.operators.report import (
     title_report,
 )
 from linetone.operators.scoring import (
+    class_probabilities,
     margins,
     predicted_class,
     score_phrases,
@@ -31,6 +32,7 @@ __all__ = [
     "add_words",
     "bag_of_words",
     "check_labels",
+    "class_probabilities",
     "combined_corpus",
     "coverage_counts",
     "explode_terms",

@@ -125,6 +125,12 @@ margins AS (
   GROUP BY u.movieId, u.turn, u.line_no),
 scored AS (SELECT *, {_ARGMAX} AS Sentiment_Predicted FROM margins)"""
 
+_POWERS = ", ".join(f"exp(margin_{k} - {_GREATEST}) AS power_{k}" for k in range(len(INTERCEPTS)))
+_TOTAL = " + ".join(f"power_{k}" for k in range(len(INTERCEPTS)))
+_SHARES = ", ".join(
+    f"round(power_{k} / ({_TOTAL}), 9) AS probability_{k}" for k in range(len(INTERCEPTS))
+)
+
 MEANS = """
 means AS (SELECT movieId, avg(Sentiment_Predicted) AS score FROM scored GROUP BY movieId),
 rest AS (SELECT movieId, avg(Sentiment_Predicted) AS score_without_neutral
@@ -281,6 +287,9 @@ stream AS (
 SELECT movieId, word, count(*) AS n FROM stream
 WHERE word <> '' AND NOT list_contains({STOP}, word) GROUP BY movieId, word""",
     "fixed_weight_scores": f"WITH {SCORED_CONVERSATIONS} SELECT * FROM scored",
+    "fixed_weight_probabilities": f"""
+WITH {SCORED_CONVERSATIONS}
+SELECT movieId, turn, line_no, {_SHARES} FROM (SELECT *, {_POWERS} FROM scored)""",
     "mean_score": f"WITH {SCORED_CONVERSATIONS} SELECT * FROM means",
     "mean_score_without_neutral": f"WITH {SCORED_CONVERSATIONS} SELECT * FROM rest",
     "title_results": f"""
@@ -289,6 +298,7 @@ WITH {SCORED_CONVERSATIONS} {_report(CONVERSATION_TITLES)}""",
 WITH {SCORED_CONVERSATIONS} {_report(CONVERSATION_TITLES)}""",
     "title_results_all_titles": f"WITH {SCORED_DOCUMENTS} {_report(TITLES, 'LEFT JOIN')}",
     "title_results_documents": f"WITH {SCORED_DOCUMENTS} {_report(TITLES)}",
+    "lr_weight_scores": ALL_LINES_EQUAL,
     "model_round_trip": ALL_LINES_EQUAL,
     "genre_results": f"""
 WITH {SCORED_DOCUMENTS},

@@ -12,6 +12,7 @@ from linetone.functions import title_file_key, title_text_path
 from linetone.operators import (
     add_words,
     bag_of_words,
+    class_probabilities,
     combined_corpus,
     coverage_counts,
     fit_classifier,
@@ -47,7 +48,11 @@ from linetone.sources import (
     read_cues,
     read_labelled_phrases,
     read_subtitles,
+    read_terms,
+    read_weights,
     save_classifier,
+    save_vectoriser,
+    term_weights,
 )
 from linetone.sources.catalogue import first_titles
 from linetone.sources.phrases import first_phrases
@@ -374,6 +379,13 @@ def fixed_weight_scores(spark: SparkSession, folder: str) -> DataFrame:
     return score_phrases(_unique_lines(spark, folder), WEIGHTS, INTERCEPTS)
 
 
+def fixed_weight_probabilities(spark: SparkSession, folder: str) -> DataFrame:
+    """Probabilities to nine places."""
+    scored = class_probabilities(fixed_weight_scores(spark, folder), len(INTERCEPTS))
+    names = [f"probability_{k}" for k in range(len(INTERCEPTS))]
+    return scored.select(*TURN_ORDER, *(F.round(name, 9).alias(name) for name in names))
+
+
 def mean_scores(spark: SparkSession, folder: str) -> DataFrame:
     return mean_score(_scored_lines(spark, folder))
 
@@ -502,6 +514,29 @@ def model_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return scored.agg(F.count("*").alias("lines"), F.count(F.when(same, 1)).alias("equal"))
 
 
+def lr_weight_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines scored by the model and by its weights as a table, and how many agree.
+
+    They agree if the class is the same and no probability differs by more than rounding.
+    """
+    _, fitted = _fitted(spark, folder)
+    classes = fitted.classifier.numClasses
+    saved = save_classifier(fitted.classifier, new_path(spark, "lr_model"))
+    terms = read_terms(spark, save_vectoriser(fitted.vectoriser, new_path(spark, "vectoriser")))
+    weights, intercepts = term_weights(read_weights(spark, saved), terms, classes)
+    by_model = fitted.lines.select(
+        "movieId",
+        "filtered",
+        vector_to_array("probability").alias("probability"),
+        F.col("Sentiment_Predicted").alias("class"),
+    )
+    scored = score_phrases(by_model, stage(weights, "weights"), intercepts)
+    scored = class_probabilities(scored, classes)
+    apart = [F.abs(F.get("probability", k) - F.col(f"probability_{k}")) for k in range(classes)]
+    same = (F.col("class") == F.col("Sentiment_Predicted")) & (F.greatest(*apart) < 1e-9)
+    return scored.agg(F.count("*").alias("lines"), F.count(F.when(same, 1)).alias("equal"))
+
+
 # Timed in the benchmark; no SQL gives the iterates of a fit.
 TIMED = {"lr_title_results": lr_title_results}
 
@@ -535,6 +570,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "title_text": title_texts,
     "word_stream_counts": word_stream_counts,
     "fixed_weight_scores": fixed_weight_scores,
+    "fixed_weight_probabilities": fixed_weight_probabilities,
     "mean_score": mean_scores,
     "mean_score_without_neutral": mean_scores_without_neutral,
     "title_results": title_results,
@@ -545,5 +581,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_title_results": stream_title_results,
     "lr_training_predictions": lr_training_predictions,
     "lr_class_counts": lr_class_counts,
+    "lr_weight_scores": lr_weight_scores,
     "model_round_trip": model_round_trip,
 }

@@ -9,7 +9,15 @@ from linetone.sources.lines import (
     split_cues,
     split_lines,
 )
-from linetone.sources.models import load_classifier, model_path, save_classifier
+from linetone.sources.models import (
+    load_classifier,
+    model_path,
+    read_terms,
+    read_weights,
+    save_classifier,
+    save_vectoriser,
+    term_weights,
+)
 from linetone.sources.phrases import read_labelled_phrases
 
 __all__ = [
@@ -23,8 +31,12 @@ __all__ = [
     "read_labelled_phrases",
     "read_line_files",
     "read_subtitles",
+    "read_terms",
+    "read_weights",
     "save_classifier",
+    "save_vectoriser",
     "split_cues",
     "split_lines",
+    "term_weights",
     "title_names",
 ]

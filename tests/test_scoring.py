@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+import random
 import re
 
 import pytest
@@ -7,6 +9,9 @@ from conftest import plan_of, rows
 
 from linetone.operators import (
     add_words,
+    class_probabilities,
+    fit_classifier,
+    fit_vectoriser,
     genre_report,
     mean_score,
     mean_score_without_neutral,
@@ -14,6 +19,7 @@ from linetone.operators import (
     title_report,
     unique_phrases,
 )
+from linetone.sources import read_terms, read_weights, save_classifier, save_vectoriser, term_weights
 
 WEIGHTS = {"bad": (3, 0, 0, 0, 0), "fine": (0, 0, 0, 3, 0), "great": (0, 0, 0, 0, 3)}
 INTERCEPTS = (0, 0, 1, 0, 0)
@@ -109,3 +115,41 @@ def test_report_with_all_titles(titles, scored):
 def test_report_reads_the_scored_set_once(titles, scored):
     plan = plan_of(title_report(titles, scored))
     assert len(re.findall(r"HashAggregate\(keys=\[movieId#\d+L\]", plan)) == 2  # partial and final
+
+
+def test_probabilities_of_large_margins(spark):
+    margins = [(1000.0, 1000.0, -1000.0), (-1000.0, 0.0, 1000.0), (0.0, 0.0, 0.0), (1.0, 2.0, 3.0)]
+    table = spark.createDataFrame(margins, "margin_0 double, margin_1 double, margin_2 double")
+    found = [tuple(r) for r in class_probabilities(table, 3).select("probability_0", "probability_1", "probability_2").collect()]
+    assert found[:2] == [(0.5, 0.5, 0.0), (0.0, 0.0, 1.0)]
+    assert found[2] == pytest.approx((1 / 3,) * 3)
+    powers = [math.exp(k) for k in (1, 2, 3)]
+    assert found[3] == pytest.approx([p / sum(powers) for p in powers])
+    one = spark.createDataFrame([(5.0,)], "margin_0 double")
+    assert rows(class_probabilities(one, 1), "probability_0") == [(1.0,)]
+
+
+@pytest.mark.parametrize("labels, options", [((0, 1, 2), {}), ((0, 1), {}), ((0, 1), {"regParam": 0.5, "elasticNetParam": 1.0}), ((0, 1, 3), {"regParam": 0.1, "elasticNetParam": 1.0})])
+def test_weights_of_a_saved_model_score_as_it_does(spark, tmp_path, labels, options):
+    """Dense and sparse matrices, two classes and more, a class that does not occur."""
+    picks = random.Random(len(labels))
+    words = "good bad film dull great plot".split()
+    lines = [(i, picks.choices(words, k=picks.randrange(5)), labels[i % len(labels)]) for i in range(60)]
+    train = spark.createDataFrame(lines, "movieId long, filtered array<string>, Sentiment int")
+    vectoriser = fit_vectoriser(train)
+    model = fit_classifier(vectoriser.transform(train), **options)
+    path = save_classifier(model, str(tmp_path / "model"))
+    weights = read_weights(spark, path)
+    matrix, classes = model.coefficientMatrix.toArray(), model.numClasses
+    want = {(i, k + (classes == 2)): w for k, row in enumerate(matrix) for i, w in enumerate(row) if w}
+    want |= {(-1, k + (classes == 2)): b for k, b in enumerate(model.interceptVector.toArray()) if b}
+    assert {(r["idx"], r["class"]): r["weight"] for r in weights.collect()} == want
+    terms = read_terms(spark, save_vectoriser(vectoriser, str(tmp_path / "terms")))
+    assert [r["term"] for r in terms.orderBy("idx").collect()] == vectoriser.vocabulary
+    table, intercepts = term_weights(weights, terms, classes)
+    new = spark.createDataFrame([(i, picks.choices([*words, "new"], k=i % 6)) for i in range(40)], "movieId long, filtered array<string>")
+    by_model = {r["movieId"]: r for r in model.transform(vectoriser.transform(new)).collect()}
+    for row in class_probabilities(score_phrases(new, table, intercepts, "class"), classes).collect():
+        known = by_model[row["movieId"]]
+        assert row["class"] == known["Sentiment_Predicted"]
+        assert [row[f"probability_{k}"] for k in range(classes)] == pytest.approx(list(known["probability"]))
