@@ -8,6 +8,7 @@ from linetone.operators.report import (
     mean_score_without_neutral,
     title_report,
 )
+from linetone.operators.sampling import row_hash, sample_per_label
 from linetone.operators.scoring import (
     class_probabilities,
     margins,
@@ -25,6 +26,7 @@ from linetone.operators.vocabulary import (
     term_frequencies,
     word_runs,
 )
+from linetone.operators.word_table import content_words_by_table, drop_listed_words
 from linetone.operators.words import title_text, word_counts, word_stream
 
 __all__ = [
@@ -34,7 +36,9 @@ __all__ = [
     "check_labels",
     "class_probabilities",
     "combined_corpus",
+    "content_words_by_table",
     "coverage_counts",
+    "drop_listed_words",
     "explode_terms",
     "fit_classifier",
     "fit_vectoriser",
@@ -45,7 +49,9 @@ __all__ = [
     "null_phrases",
     "predicted_class",
     "ranked_vocabulary",
+    "row_hash",
     "running_totals",
+    "sample_per_label",
     "score_phrases",
     "term_counts",
     "term_frequencies",

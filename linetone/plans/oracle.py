@@ -16,6 +16,7 @@ from linetone.plans.registry import (
     INTERCEPTS,
     LEAST_FILES,
     LINES_PER_FILE,
+    PER_LABEL,
     PHRASE_FAULTS,
     SHARING,
     TOP_TERMS,
@@ -175,6 +176,25 @@ SELECT CASE doc_id % {2 * len(faults)} {cases} END AS rejected_record
 FROM documents WHERE doc_id % {2 * len(faults)} < {len(faults)}"""
 
 
+def _stream(name: str, source: str) -> str:
+    """One row per cleaned word of each ``Phrase``."""
+    return f"""
+{name}_cleaned AS (
+  SELECT movieId, regexp_replace(regexp_replace(Phrase, '[^a-z A-Z]', '', 'g'), '^ *', '') AS line
+  FROM {source}),
+{name} AS (
+  SELECT movieId, word FROM (
+    SELECT movieId, unnest(string_split_regex(lower(line), '\\s+')) AS word
+    FROM {name}_cleaned WHERE length(line) > 0)
+  WHERE word <> '')"""
+
+
+WORD_STREAM_COUNTS = f"""
+WITH {CONVERSATION_LINES}, {_stream("stream", "lines")}
+SELECT movieId, word, count(*) AS n FROM stream
+WHERE NOT list_contains({STOP}, word) GROUP BY movieId, word"""
+
+
 def _dealt(source: str) -> str:
     """Rows with the number of the file they are written to."""
     return f"""
@@ -187,6 +207,13 @@ dealt AS (
 ORACLE: dict[str, str] = {
     "catalogue_first_n": f"{TITLES} ORDER BY movieId LIMIT {FIRST_TITLES}",
     "catalogue_scan": TITLES,
+    "catalogue_inferred": """
+SELECT CAST(doc_id AS INTEGER) AS movieId, source AS title, CAST(n_chars AS INTEGER) AS n_chars,
+       doc_id * 10000000000 AS far, n_chars / 2 AS half, doc_id % 2 = 0 AS even,
+       CASE WHEN doc_id = (SELECT max(doc_id) FROM documents) THEN 'x'
+            ELSE CAST(n_chars AS VARCHAR) END AS mixed,
+       CAST(NULL AS VARCHAR) AS nothing
+FROM documents""",
     "file_key": """
 SELECT page_id AS movieId, url AS title, replace(url, '/', '') || '.en.srt' AS file_key,
        'subtitles/' || replace(url, '/', '') || '.en.srt' AS srt_path
@@ -254,6 +281,13 @@ SELECT movieId, line_no, array_to_string(filtered, ' ') AS filtered FROM uniq"""
     "labelled_phrases": f"WITH {LABELLED} SELECT * FROM labelled",
     "labelled_first_n": f"""
 WITH {LABELLED} SELECT * FROM labelled ORDER BY PhraseId LIMIT {FIRST_PHRASES}""",
+    "labelled_sample": f"""
+WITH {LABELLED}
+SELECT PhraseId, Phrase, Sentiment FROM (
+  SELECT *, row_number() OVER (PARTITION BY Sentiment
+                               ORDER BY md5(chr(31) || '=' || PhraseId)) AS nth
+  FROM labelled)
+WHERE nth <= {PER_LABEL}""",
     "labelled_phrase_scan": f"""
 WITH {LABELLED}, {DOCUMENT_LINES}
 SELECT PhraseId, line_no AS SentenceId, nullif(lines.Phrase, '') AS Phrase, Sentiment
@@ -276,16 +310,16 @@ WITH {CONVERSATION_LINES}
 SELECT movieId, turn // {TURNS_PER_PART} AS part,
        string_agg(Phrase, ' ' ORDER BY turn, line_no) AS text
 FROM lines GROUP BY movieId, part""",
-    "word_stream_counts": f"""
-WITH {CONVERSATION_LINES},
-cleaned AS (
-  SELECT movieId, regexp_replace(regexp_replace(Phrase, '[^a-z A-Z]', '', 'g'), '^ *', '') AS line
-  FROM lines),
-stream AS (
-  SELECT movieId, unnest(string_split_regex(lower(line), '\\s+')) AS word
-  FROM cleaned WHERE length(line) > 0)
+    "word_stream_counts": WORD_STREAM_COUNTS,
+    "word_stream_counts_by_table": WORD_STREAM_COUNTS,
+    "words_not_in_benchmark": f"""
+WITH {CONVERSATION_LINES}, {_stream("stream", "lines")},
+items AS (SELECT 0 AS movieId, text AS Phrase FROM benchmark), {_stream("listed", "items")}
 SELECT movieId, word, count(*) AS n FROM stream
-WHERE word <> '' AND NOT list_contains({STOP}, word) GROUP BY movieId, word""",
+WHERE word NOT IN (SELECT word FROM listed) GROUP BY movieId, word""",
+    "tokens_filtered_by_table": f"""
+WITH {CONVERSATION_LINES}, {WORDS}
+SELECT movieId, turn, line_no, array_to_string(filtered, ' ') AS filtered FROM lines_filtered""",
     "fixed_weight_scores": f"WITH {SCORED_CONVERSATIONS} SELECT * FROM scored",
     "fixed_weight_probabilities": f"""
 WITH {SCORED_CONVERSATIONS}

@@ -4,23 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from linetone.functions import title_file_key, title_text_path
+from linetone.functions import ENGLISH, title_file_key, title_text_path
 from linetone.operators import (
     add_words,
     bag_of_words,
     class_probabilities,
     combined_corpus,
+    content_words_by_table,
     coverage_counts,
+    drop_listed_words,
     fit_classifier,
     fit_vectoriser,
     genre_report,
     mean_score,
     mean_score_without_neutral,
     ranked_vocabulary,
+    sample_per_label,
     score_phrases,
     term_counts,
     title_report,
@@ -46,6 +50,7 @@ from linetone.sources import (
     load_classifier,
     read_catalogue,
     read_cues,
+    read_inferred,
     read_labelled_phrases,
     read_subtitles,
     read_terms,
@@ -82,6 +87,7 @@ INTERCEPTS = (-1, 0, 1, 0, -1)
 FIRST_TITLES = 100
 FIRST_PHRASES = 100
 TOP_TERMS = 5_000
+PER_LABEL = 40
 
 # Files that the scanned lines are dealt to: some for any table, and one more for each so many
 # lines. So many turns of a conversation stay in a file. Titles beside those that the files are
@@ -114,6 +120,29 @@ def catalogue_scan(spark: SparkSession, folder: str) -> DataFrame:
     return read_catalogue(spark, path)[0]
 
 
+def catalogue_inferred(spark: SparkSession, folder: str) -> DataFrame:
+    """A catalogue with more columns, read back with the types that its cells have.
+
+    ``mixed`` holds whole numbers but for one cell, of the last document.
+    """
+    documents = table(spark, folder, "documents")
+    last = documents.agg(F.max("doc_id")).first()[0]
+    number = F.col("doc_id")
+    cells = documents.select(
+        number.alias("movieId"),
+        F.col("source").alias("title"),
+        F.col("n_chars"),
+        (number * 10_000_000_000).alias("far"),
+        (F.col("n_chars") / 2).alias("half"),
+        (number % 2 == 0).alias("even"),
+        F.when(number == last, "x").otherwise(F.col("n_chars").cast("string")).alias("mixed"),
+        F.lit(None).cast("string").alias("nothing"),
+    )
+    path = new_path(spark, "movies.csv")
+    cells.write.csv(path, header=True, escape='"')
+    return read_inferred(spark, path, ["movieId"], escape='"')[0]
+
+
 def file_key(spark: SparkSession, folder: str) -> DataFrame:
     title = F.col("url")
     return table(spark, folder, "pages").select(
@@ -311,6 +340,11 @@ def labelled_first_n(spark: SparkSession, folder: str) -> DataFrame:
     return first_phrases(labelled(spark, folder), FIRST_PHRASES)
 
 
+def labelled_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """So many phrases of each label, the first by hash of their id."""
+    return sample_per_label(labelled(spark, folder), PER_LABEL, ["PhraseId"])
+
+
 def labelled_phrase_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Every line of the labelled documents, written as a phrase file and read back.
 
@@ -363,6 +397,31 @@ def word_stream_counts(spark: SparkSession, folder: str) -> DataFrame:
     return word_counts(word_stream(conversation_lines(spark, folder)))
 
 
+def _stop_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(pa.table({"word": pa.array(ENGLISH, pa.string())}))
+
+
+def word_stream_counts_by_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of the words that are not in a table, here of the pinned stop words."""
+    stream = word_stream(conversation_lines(spark, folder), stop=())
+    return word_counts(drop_listed_words(stream, _stop_table(spark)))
+
+
+def words_not_in_benchmark(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for a table as large as the data make it: the words of the benchmark."""
+    items = table(spark, folder, "benchmark").select(F.col("text").alias("Phrase"))
+    listed = word_stream(items, stop=()).distinct()
+    stream = word_stream(conversation_lines(spark, folder), stop=())
+    return word_counts(drop_listed_words(stream, listed))
+
+
+def tokens_filtered_by_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Word lists without the words of a table, in order."""
+    lines = add_words(conversation_lines(spark, folder), stop=())
+    kept = content_words_by_table(lines, _stop_table(spark), TURN_ORDER)
+    return kept.select(*TURN_ORDER, joined_words("filtered"))
+
+
 # Scores and reports with fixed weights
 
 
@@ -543,6 +602,7 @@ TIMED = {"lr_title_results": lr_title_results}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "catalogue_first_n": catalogue_first_n,
     "catalogue_scan": catalogue_scan,
+    "catalogue_inferred": catalogue_inferred,
     "file_key": file_key,
     "coverage_found": coverage_found,
     "coverage_missing": coverage_missing,
@@ -561,6 +621,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unique_phrases_with_words": unique_phrases_with_words,
     "labelled_phrases": labelled,
     "labelled_first_n": labelled_first_n,
+    "labelled_sample": labelled_sample,
     "labelled_phrase_scan": labelled_phrase_scan,
     "unique_labelled_phrases": unique_labelled_phrases,
     "combined_corpus": corpus,
@@ -569,6 +630,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "term_counts": term_vectors,
     "title_text": title_texts,
     "word_stream_counts": word_stream_counts,
+    "word_stream_counts_by_table": word_stream_counts_by_table,
+    "words_not_in_benchmark": words_not_in_benchmark,
+    "tokens_filtered_by_table": tokens_filtered_by_table,
     "fixed_weight_scores": fixed_weight_scores,
     "fixed_weight_probabilities": fixed_weight_probabilities,
     "mean_score": mean_scores,

@@ -19,15 +19,19 @@ from linetone.sources.models import (
     term_weights,
 )
 from linetone.sources.phrases import read_labelled_phrases
+from linetone.sources.types import as_types, inferred_types, read_inferred
 
 __all__ = [
+    "as_types",
     "cues_of_blocks",
+    "inferred_types",
     "list_text_files",
     "load_classifier",
     "model_path",
     "read_blocks",
     "read_catalogue",
     "read_cues",
+    "read_inferred",
     "read_labelled_phrases",
     "read_line_files",
     "read_subtitles",

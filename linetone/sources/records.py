@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 RAW = "rejected_record"
 
@@ -26,11 +26,17 @@ def read_records(
         columnNameOfCorruptRecord=RAW,
         **options,
     )
+    complete = is_complete(full, required)
+    return full.where(complete).drop(RAW), full.where(~complete)
+
+
+def is_complete(full: DataFrame, required: Sequence[str]) -> Column:
+    """Whether a record of a scan with the raw record beside it is accepted."""
     columns = [c for c in full.columns if c != RAW]
     # Spark checks the cells of the columns that a query reads. The count of filled cells
     # reads them all, so that the verdict on a record is the same for every query.
-    filled = sum(F.col(c).isNotNull().cast("int") for c in columns)
+    filled = sum(F.col(f"`{c}`").isNotNull().cast("int") for c in columns)
     complete = F.col(RAW).isNull() & (filled <= len(columns))
     for column in required:
-        complete = complete & F.col(column).isNotNull()
-    return full.where(complete).drop(RAW), full.where(~complete)
+        complete = complete & F.col(f"`{column}`").isNotNull()
+    return complete
