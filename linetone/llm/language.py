@@ -13,9 +13,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from linetone.llm.names import numbered, restored
 from linetone.session import stage
 
-# The sample a dictionary is made of: up to SAMPLE texts of a language, of between
-# SHORTEST and LONGEST bytes, joined and cut at DICTIONARY bytes.
-SAMPLE = 160
+# The sample a dictionary is made of, joined and cut at DICTIONARY bytes: up to SAMPLE texts of a
+# language, of between SHORTEST and LONGEST bytes. If there are fewer, up to as many excerpts of
+# longer texts follow, then up to SHORT_SAMPLE shorter texts.
+SAMPLE, SHORT_SAMPLE = 160, 4_000
 SHORTEST, LONGEST = 200, 8_000
 DICTIONARY = 96 << 10
 
@@ -26,9 +27,12 @@ LEVEL = 6
 
 # Bytes of the language that stand before a piece and are not in the dictionary. Their size
 # alone is taken off again. A text of a few words has no gain of its own to show, but makes
-# what it joins longer by less in its own language.
+# what it joins longer by less in its own language. A small sample gives a quarter of itself.
 LEAD = 1000
 
+# A shorter dictionary is none: too little for a compressor to refer to.
+LEAST = 8
+
 # Share of the second-best size by which the best must be smaller.
 MARGIN = 0.01
 # Margin at which the score is 1 - 1/e.
@@ -46,40 +50,61 @@ def letters(text: str) -> bytes:
     return _NO_LETTERS.sub(" ", text.lower()).strip().encode("utf-8", "surrogatepass")
 
 
+def _kind() -> Column:
+    """0 for texts of suitable length, 1 for longer ones, 2 for shorter ones."""
+    size = F.octet_length("text")
+    return F.when(size > LONGEST, 1).when(size < SHORTEST, 2).otherwise(0)
+
+
+def _excerpt() -> Column:
+    """A text, or of a long one as many characters from a place that its hash gives."""
+    room = F.greatest(F.length("text") - LONGEST, F.lit(0)) + 1
+    place = F.pmod(F.conv(F.substring("key", 9, 8), 16, 10).cast("long"), room)
+    return F.substring(F.col("text"), (place + 1).cast("int"), F.lit(LONGEST))
+
+
 def sample_texts(labelled: DataFrame) -> dict[str, list[str]]:
-    """For each ``lang``, the sample of its distinct texts that come first by hash.
+    """For each ``lang``, the sample of its distinct texts that come first by kind and hash.
 
     Only ids and hashes are ranked, and of these only a share that has the first ones all but
-    surely, so that no task ranks a whole language. The chosen texts are then read: at most
-    ``SAMPLE`` of ``LONGEST`` bytes a language. ``labelled``: ``doc_id``, ``text``, ``lang``.
+    surely, so that no task ranks a whole language. The chosen texts are then read: of each
+    language at most ``SAMPLE`` of ``LONGEST`` bytes, and where these are not so many as much
+    again and ``SHORT_SAMPLE`` of ``SHORTEST``. ``labelled``: ``doc_id``, ``text``, ``lang``.
     """
-    usable = labelled.where(F.col("lang").isNotNull()).where(
-        F.octet_length("text").between(SHORTEST, LONGEST)
-    )
-    thin = usable.groupBy("lang", F.md5("text").alias("key")).agg(F.min("doc_id").alias("doc_id"))
+    usable = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    usable = usable.select("doc_id", "lang", "text", _kind().alias("kind"), F.md5("text").alias("key"))
+    thin = usable.groupBy("lang", "kind", "key").agg(F.min("doc_id").alias("doc_id"))
     thin = stage(thin, "hashes")
-    totals = stage(thin.groupBy("lang").agg(F.count("*").alias("texts")), "totals")
+    most = F.when(F.col("kind") == 2, SHORT_SAMPLE).otherwise(SAMPLE)
+    totals = thin.groupBy("lang", "kind").agg(F.count("*").alias("texts")).withColumn(
+        "suitable", F.max(F.when(F.col("kind") == 0, F.col("texts"))).over(Window.partitionBy("lang"))
+    )
+    totals = totals.where((F.col("kind") == 0) | (F.coalesce("suitable", F.lit(0)) < SAMPLE))
+    totals = stage(totals.drop("suitable"), "totals")
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("double") / (1 << 32)
-    thin = thin.join(totals, "lang").where(place * F.col("texts") < 4 * SAMPLE)
-    first = Window.partitionBy("lang").orderBy("key")
-    thin = thin.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE)
+    thin = thin.join(totals, ["lang", "kind"]).where(place * F.col("texts") < 4 * most)
+    first = Window.partitionBy("lang", "kind").orderBy("key")
+    thin = thin.withColumn("n", F.row_number().over(first)).where(F.col("n") <= most)
     chosen = stage(thin.select("doc_id", "lang", "key"), "sample")
-    texts = usable.join(chosen, ["doc_id", "lang"]).where(F.md5("text") == F.col("key"))
-    found: dict[str, dict[str, str]] = {}
-    for row in texts.select("lang", "key", "text").distinct().collect():
-        found.setdefault(row["lang"], {})[row["key"]] = row["text"]
+    chosen = chosen.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"), F.col("key").alias("_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang")) & (F.col("key") == F.col("_key"))
+    texts = usable.join(chosen, same).select("lang", "kind", "key", _excerpt().alias("text"))
+    found: dict[str, dict[tuple[int, str], str]] = {}
+    for row in texts.distinct().collect():
+        found.setdefault(row["lang"], {})[row["kind"], row["key"]] = row["text"]
     return {lang: [t for _, t in sorted(by_key.items())] for lang, by_key in sorted(found.items())}
 
 
 def learn(labelled: DataFrame) -> dict[str, bytes]:
     """A raw-content dictionary for each language of ``labelled`` (``doc_id``, ``text``, ``lang``).
 
-    A language without a text of suitable length is not learned.
+    A language whose sample has no letters is not learned.
     """
-    return {
-        lang: b" ".join(map(letters, texts))[:DICTIONARY]
+    joined = {
+        lang: b" ".join(filter(None, map(letters, texts)))[:DICTIONARY]
         for lang, texts in sample_texts(labelled).items()
     }
+    return {lang: content for lang, content in joined.items() if content}
 
 
 class Classifier:
@@ -91,9 +116,11 @@ class Classifier:
         )
         self.by_language = {}
         for lang, content in sorted(dictionaries.items()):
-            content, lead = content[:-LEAD], content[-LEAD:] + b" "
+            cut = len(content) - min(LEAD, len(content) // 4)
+            content, lead = content[:cut], content[cut:] + b" "
             raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            compressor = zstandard.ZstdCompressor(dict_data=raw, compression_params=options)
+            known = {"dict_data": raw} if len(content) >= LEAST else {}
+            compressor = zstandard.ZstdCompressor(compression_params=options, **known)
             self.by_language[lang] = compressor, lead, len(compressor.compress(lead))
 
     def sizes(self, content: bytes) -> dict[str, int]:
@@ -139,7 +166,7 @@ def identify(documents: DataFrame, labelled: DataFrame) -> DataFrame:
     Dictionaries come from a bounded sample of ``labelled`` (``doc_id``, ``text``, ``lang``);
     every whole text of ``documents`` is then classified from its letters alone. ``und``
     with score 0 stands for a null text or one without letters, and for all texts if no
-    language could be learned. ``rejected`` are these and the texts with a narrow margin.
+    language could be learned. Texts of any length teach, those of suitable length first. ``rejected`` are these and the texts with a narrow margin.
     Columns of these names are replaced; other columns, nulls and repeated rows pass
     through. An empty table gives no rows.
     """
