@@ -27,22 +27,15 @@ def text_group() -> Column:
 
 
 def minimax_shards(
-    df: DataFrame,
-    size: str,
-    group: str,
-    tie: Sequence[str],
-    shards: int = SHARDS,
-    together: bool = True,
+    df: DataFrame, size: str, group: str, tie: Sequence[str], shards: int = SHARDS
 ) -> DataFrame:
     """``df`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0 in each shard).
 
-    Rows with the same ``group`` (never null) stay together. Groups are laid out in the
-    order of ``group``, those too large for an even share first, and the sequence is cut
-    into contiguous shards so that the largest shard is as small as that order allows. A
-    group above the even share gets a shard to itself and the rest is cut anew, so one
-    group with a third of all rows leaves the other shards even. Unless ``together``, a
-    group only orders its rows and each row is one to be cut at: shards are even whatever
-    the groups, and only a row above the even share is larger.
+    Rows with the same ``group`` (never null) stay together, unless they are more than an even
+    share of all, in which case each row of the group is one to be cut at. Groups are laid
+    out in the order of ``group``, and the sequence is cut into contiguous shards so that the
+    largest shard is as small as that order allows. A row above the even share gets a shard to
+    itself and the rest is cut anew, so that it leaves the other shards even.
 
     Rows of a group are ordered by ``tie``; rows equal in ``tie`` take either slot. An
     empty table gives no rows; with fewer groups than shards some shards stay empty.
@@ -52,11 +45,13 @@ def minimax_shards(
     rows, names = numbered(df)
     rows = rows.withColumn("_size", F.col(names[size]))
     group, tie = names[group], [names[t] for t in tie]
-    groups = rows.select(group, "_size")
-    if together:
-        groups = groups.groupBy(group).agg(F.sum("_size").alias("_size"))
-    groups = stage(groups, "groups")
-    total = groups.agg(F.sum("_size")).first()[0] or 0
+    sums = stage(rows.groupBy(group).agg(F.sum("_size").alias("_size")), "groups")
+    total = sums.agg(F.sum("_size")).first()[0] or 0
+    # Fewer than there are shards.
+    heavy = [bytes(r[group]) for r in sums.where(F.col("_size") * shards > total).select(group).collect()]
+    apart = F.col(group).isin(heavy) if heavy else F.lit(False)
+    groups = sums.where(~apart).unionByName(rows.where(apart).select(group, "_size"))
+    groups = stage(groups, "atoms")
     # At most one row per shard, whatever the table's size.
     largest = groups.orderBy(F.desc("_size"), group).limit(shards).collect()
     alone = []
@@ -75,12 +70,14 @@ def minimax_shards(
         rows.withColumn("_ahead", ahead),
         order,
         {"_end": F.col("_size"), "_nth": F.lit(1).cast("long")},
+        ties=True,
     )
     laid = stage(laid, "laid")
-    ends = laid
-    if together:
-        ends = laid.groupBy("_ahead", group).agg(F.max("_end").alias("_end"), F.max("_nth").alias("_nth"))
-    ends = ends.select("_end", "_nth").repartitionByRange("_end").sortWithinPartitions("_end")
+    ends = laid.where(~apart).groupBy("_ahead", group).agg(
+        F.max("_end").alias("_end"), F.max("_nth").alias("_nth")
+    )
+    ends = ends.select("_end", "_nth").unionByName(laid.where(apart).select("_end", "_nth"))
+    ends = ends.repartitionByRange("_end").sortWithinPartitions("_end")
     ends = stage(ends, "ends")
 
     cuts = []

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+import itertools
 import random
 from collections import defaultdict
 
@@ -12,11 +14,10 @@ from linetone.llm.sharding import minimax_shards, text_group, text_size
 
 def least_capacity(sizes: list[int], shards: int) -> int:
     """By dynamic programming over all contiguous cuts."""
+    ends = [0, *itertools.accumulate(sizes)]
     best = [0] + [10**18] * len(sizes)
     for _ in range(shards):
-        best = [
-            min(max(best[j], sum(sizes[j:i])) for j in range(i + 1)) for i in range(len(sizes) + 1)
-        ]
+        best = [min(max(best[j], ends[i] - ends[j]) for j in range(i + 1)) for i in range(len(ends))]
     return best[-1]
 
 
@@ -48,6 +49,38 @@ def test_a_heavy_group_gets_a_shard_and_the_rest_stays_even(spark):
     assert sorted(loads.values()) == [50, 50, 50, 50, 400]
 
 
+def laid_out(rows):
+    """Shards as lists of atoms: whole groups, or rows of a group above the even share."""
+    even = sum(s for _, s, *_ in rows) / 16
+    sums = defaultdict(int)
+    for text, size in rows:
+        sums[text] += size
+    order = sorted(sums, key=lambda t: hashlib.sha256(t.encode()).digest())
+    sizes = {t: next(s for u, s in rows if u == t) for t in order}
+    return [a for t in order for a in ([sums[t]] if sums[t] <= even else [sizes[t]] * (sums[t] // sizes[t]))], even
+
+
+@pytest.mark.parametrize("hot", [0, 300])
+def test_registered_query_has_the_least_capacity_over_atomic_groups(spark, tmp_path, hot):
+    from linetone.llm.queries import op1_sharding
+
+    picks = random.Random(hot)
+    texts = [f"text {k} " * picks.randrange(1, 9) for k in range(120) for _ in range(picks.choice([1, 1, 1, 4]))]
+    texts += ["copies of this"] * hot
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    found = op1_sharding(spark, str(tmp_path)).collect()
+    atoms, even = laid_out([(t, len(t) + 1) for t in texts])
+    loads, places = defaultdict(int), defaultdict(set)
+    for r in found:
+        loads[r["shard"]] += r["size"]
+        places[texts[r["doc_id"]]].add(r["shard"])
+    assert max(loads.values()) == least_capacity(atoms, 16)
+    split = [t for t, shards in places.items() if len(shards) > 1]
+    assert split == (["copies of this"] if hot else [])
+
+
 def test_odd_documents(spark):
     df = documents(spark).select(
         "doc_id", text_size().alias("size"), text_group().alias("group"), "text", "_part", "_size", "shard"
@@ -58,7 +91,9 @@ def test_odd_documents(spark):
     for r in found:
         places[r["text"]].add(r["shard"])
         assert r["size"] == len((r["text"] or "").encode()) + 1
-    assert all(len(s) == 1 for s in places.values())
+    even = sum(r["size"] for r in found) / 4
+    for text, shards in places.items():
+        assert len(shards) == 1 or sum(r["size"] for r in found if r["text"] == text) > even
     for shard in {r["shard"] for r in found}:
         slots = sorted(r["slot"] for r in found if r["shard"] == shard)
         assert slots == list(range(len(slots)))
