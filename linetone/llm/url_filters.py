@@ -21,10 +21,13 @@ RULES = (
 )
 
 DAMPING = 0.85
-ROUNDS = 12
 
-# A host is blocked if distrust exceeds trust and half of what a host gives itself that
-# only has blocked pages.
+# Ranks are settled when no host's moves by more than this in a round. A round leaves DAMPING of
+# what is still to move, so that many rounds do at most.
+SETTLED = 1e-6
+
+# A host is blocked if it has more distrust than trust, and this share at least of what a host
+# has that links to blocked hosts only.
 LEAST_DISTRUST = 0.5
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -67,44 +70,47 @@ def host_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(links: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> DataFrame:
-    """Personalised PageRank: ``host``, ``rank`` from ``seeds`` (``host``, ``seed``) along ``links``.
+def propagate(shares: DataFrame, seeds: DataFrame, damping: float) -> DataFrame:
+    """``host``, ``rank`` from ``seeds`` (``host``, ``seed``): each round a host passes the part
+    ``share`` of its rank from ``src`` to ``dst``, damped, until no rank moves by ``SETTLED``.
 
-    Each round is one join and one sum by host, written out. Hosts without out-links pass
-    nothing on. Sums are rounded, so that their order doesn't show.
+    Each round is one join and one sum by host, written out with the rank before it. Sums are
+    rounded, so that their order doesn't show.
     """
-    out = links.groupBy("src").agg(F.sum("weight").alias("out"))
-    shares = stage(
-        links.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share")),
-        "shares",
-    )
-    own = seeds.select("host", (F.col("seed") * (1 - damping)).alias("own"))
-    ranks = own.withColumnRenamed("own", "rank")
+    own = seeds.select("host", (F.col("seed") * (1 - damping)).alias("rank"))
     if shares.isEmpty():
-        return ranks
-    for _ in range(rounds):
+        return own
+    ranks = stage(own, "ranks")
+    while True:
         passed = shares.join(ranks, shares["src"] == ranks["host"]).select(
             F.col("dst").alias("host"), (F.col("share") * F.col("rank") * damping).alias("rank")
         )
-        ranks = own.withColumnRenamed("own", "rank").unionByName(passed)
-        ranks = ranks.groupBy("host").agg(F.round(F.sum("rank"), 12).alias("rank"))
-        ranks = stage(ranks, "ranks")
-    return ranks
+        now = own.unionByName(passed).withColumn("before", F.lit(0.0))
+        then = ranks.select("host", F.lit(0.0).alias("rank"), F.col("rank").alias("before"))
+        sums = now.unionByName(then).groupBy("host").agg(
+            F.round(F.sum("rank"), 12).alias("rank"), F.sum("before").alias("before")
+        )
+        sums = stage(sums, "ranks")
+        moved = sums.agg(F.max(F.abs(F.col("rank") - F.col("before")))).first()[0]
+        ranks = sums.select("host", "rank")
+        if moved is None or moved < SETTLED:
+            return ranks
 
 
 def judge(
     pages: DataFrame,
     rules: Sequence[tuple[str, str, str]] = RULES,
     damping: float = DAMPING,
-    rounds: int = ROUNDS,
 ) -> DataFrame:
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``trust``, ``distrust``.
 
     A page that a rule fits takes its verdict. The others take their host's: ruled pages
     are seeds, a host's seed being the share of its pages that are allowed or blocked.
-    Trust follows the links from allowed seeds, distrust goes against them from blocked
-    seeds to the hosts that link there. A host with more distrust than trust, and no
-    little of it, is blocked, any other allowed.
+    Trust follows the links from allowed seeds, split over a host's links. Distrust goes against
+    them, from blocked seeds to the hosts that link there, by the share of the linking host's
+    own links: a host whose links mostly lead to blocked hosts is blocked, however many others
+    link there, and one bad link among many does little. A host with more distrust than trust,
+    and no little of it, is blocked, any other allowed.
 
     A null address, or one without ``://``, has host and path empty, and no links or seeds
     count for it: it is allowed. Null pages have no links. Repeated rows are judged alike.
@@ -122,14 +128,19 @@ def judge(
     )
     hosts = stage(hosts, "hosts")
     links = stage(host_links(pages), "links")
-    back = links.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
+    out = links.groupBy("src").agg(F.sum("weight").alias("out"))
+    shares = links.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share"))
+    shares = stage(shares, "shares")
+    back = shares.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "share")
     seeds = lambda name: hosts.where(F.col(name) > 0).select("host", F.col(name).alias("seed"))
-    trust = propagate(links, seeds("allowed"), damping, rounds).withColumnRenamed("rank", "trust")
-    distrust = propagate(back, seeds("blocked"), damping, rounds).withColumnRenamed("rank", "distrust")
+    trust = propagate(shares, seeds("allowed"), damping).withColumnRenamed("rank", "trust")
+    distrust = propagate(back, seeds("blocked"), damping).withColumnRenamed("rank", "distrust")
     scored = hosts.select("host").join(trust, "host", "left").join(distrust, "host", "left")
     scored = scored.fillna(0.0, ["trust", "distrust"])
-    least = LEAST_DISTRUST * (1 - damping)
-    blocked = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= least)
+    least = LEAST_DISTRUST * damping * (1 - damping)
+    # To five places, which the rounds settle.
+    more, enough = F.round(F.col("distrust") - F.col("trust"), 5), F.round(F.col("distrust") - least, 5)
+    blocked = (more > 0) & (enough >= 0)
     scored = stage(scored.withColumn("spread", F.when(blocked, "block").otherwise("allow")), "scored")
     return judged.join(scored, "host", "left").select(
         "page_id", "host", "path", "rule",
@@ -139,13 +150,28 @@ def judge(
     )
 
 
-# Pages of the given tables link within their host only, so that here trust and distrust
-# are the host's own shares; tests hold the propagation against a plain power iteration.
 _RULE_ROWS = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
+
+
+def _ranks(name: str, seed: str, src: str, dst: str) -> str:
+    """SQL for a power iteration of more rounds than are needed."""
+    return f"""
+{name}(k, host, rank) AS (
+  SELECT 0, host, {seed} * {1 - DAMPING} FROM hosts
+  UNION ALL
+  SELECT any_value(n.k) + 1, h.host,
+         any_value(h.{seed}) * {1 - DAMPING} + coalesce(sum(s.share * t.rank * {DAMPING}), 0)
+  FROM hosts h CROSS JOIN (SELECT DISTINCT k FROM {name}) n
+  LEFT JOIN shares s ON s.{dst} = h.host
+  LEFT JOIN {name} t ON t.host = s.{src}
+  WHERE n.k < 80 GROUP BY h.host)"""
+
+
 ORACLE_SQL = f"""
-WITH split AS (
-  SELECT page_id,
-         lower(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1, 's'), '')) AS host,
+WITH RECURSIVE split AS (
+  SELECT page_id, html,
+         translate(coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 1, 's'), ''),
+                   '{UPPER}', '{UPPER.lower()}') AS host,
          coalesce(regexp_extract(url, '://([^/?#]*)([^?#]*)', 2, 's'), '') AS path
   FROM pages),
 rules(verdict, site, start) AS (VALUES {_RULE_ROWS}),
@@ -156,12 +182,26 @@ fitting AS (
   FROM split s LEFT JOIN rules r
     ON (s.host = r.site OR ends_with(s.host, '.' || r.site)) AND starts_with(s.path, r.start)),
 ruled AS (SELECT page_id, host, path, rule, verdict FROM fitting WHERE nth = 1),
+links AS (
+  SELECT host AS src, dst, count(*) AS weight
+  FROM (SELECT host, translate(unnest(regexp_extract_all(html, '{LINK.replace("'", "''")}', 1)),
+                               '{UPPER}', '{UPPER.lower()}') AS dst FROM split)
+  WHERE host <> dst AND host <> '' GROUP BY ALL),
+shares AS (SELECT src, dst, weight / sum(weight) OVER (PARTITION BY src) AS share FROM links),
 hosts AS (
   SELECT host, avg((coalesce(verdict, '') = 'allow')::INT) AS allowed,
          avg((coalesce(verdict, '') = 'block')::INT) AS blocked
-  FROM ruled WHERE host <> '' GROUP BY host)
+  FROM (SELECT host, verdict FROM ruled WHERE host <> ''
+        UNION ALL
+        (SELECT DISTINCT dst, NULL FROM links WHERE dst NOT IN (SELECT host FROM ruled)))
+  GROUP BY host),
+{_ranks("trust", "allowed", "src", "dst")},
+{_ranks("distrust", "blocked", "dst", "src")}
 SELECT r.page_id, r.host, r.path, r.rule,
-       coalesce(r.verdict, CASE WHEN h.blocked > h.allowed AND h.blocked >= {LEAST_DISTRUST}
+       coalesce(r.verdict, CASE WHEN round(d.rank - t.rank, 5) > 0
+                                 AND round(d.rank - {LEAST_DISTRUST * DAMPING * (1 - DAMPING)}, 5) >= 0
                                 THEN 'block' ELSE 'allow' END) AS verdict
-FROM ruled r LEFT JOIN hosts h ON r.host = h.host
+FROM ruled r
+LEFT JOIN (SELECT host, rank FROM trust WHERE k = 80) t ON r.host = t.host
+LEFT JOIN (SELECT host, rank FROM distrust WHERE k = 80) d ON r.host = d.host
 """
