@@ -204,6 +204,15 @@ dealt AS (
   FROM {source})"""
 
 
+COVERAGE_OF_FILES = f"""
+WITH {CONVERSATION_LINES}, {_dealt("lines")},
+flagged AS (
+  SELECT conv_id AS movieId,
+         conv_id % (2 * ({LEAST_FILES} + (SELECT count(*) FROM lines) // {LINES_PER_FILE}))
+         IN (SELECT file FROM dealt) AS srt_exists
+  FROM conversations WHERE turn = 0)
+"""
+
 ORACLE: dict[str, str] = {
     "catalogue_first_n": f"{TITLES} ORDER BY movieId LIMIT {FIRST_TITLES}",
     "catalogue_scan": TITLES,
@@ -227,6 +236,16 @@ WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = t.movieId)""",
 SELECT count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM labels)) AS found,
        count(*) FILTER (WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS missing
 FROM documents""",
+    "coverage_of_files": COVERAGE_OF_FILES + "SELECT * FROM flagged",
+    "coverage_counts_of_files": COVERAGE_OF_FILES + """
+SELECT count(*) FILTER (WHERE srt_exists) AS found, count(*) FILTER (WHERE NOT srt_exists) AS missing
+FROM flagged""",
+    "study_counts": f"""
+WITH {CONVERSATION_LINES}, {WORDS}, {UNIQUE}, {UNIQUE_LABELLED}, {_dealt("lines")}
+SELECT (SELECT count(DISTINCT file) + 1 FROM dealt) AS n_movies,
+       CAST(1 AS BIGINT) AS n_movies_without_subs,
+       (SELECT count(DISTINCT filtered) FROM train WHERE Phrase <> '') AS n_train,
+       (SELECT count(*) FROM uniq) AS n_test""",
     "catalogue_rejects": _rejects(
         CATALOGUE_FAULTS,
         {"id": "doc_id", "title": "source", "genres": "lang"},

@@ -34,6 +34,7 @@ from linetone.operators import (
     word_counts,
     word_stream,
 )
+from linetone.plans.study import SentimentStudy
 from linetone.plans.tables import (
     conversation_lines,
     conversation_titles,
@@ -167,6 +168,71 @@ def coverage_totals(spark: SparkSession, folder: str) -> DataFrame:
     return coverage_counts(document_titles(spark, folder), labelled_keys(spark, folder), "movieId")
 
 
+def _titles_of_files(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    """A folder of text files, and the conversations as titles, a part of which has one there.
+
+    A title's file is the one whose number is its id's remainder by twice the number of files.
+    """
+    path, named = _line_files(spark, conversation_lines(spark, folder))
+    files = named.where("movieId >= 0").select(F.col("movieId").alias("number"), "title")
+    numbers = LEAST_FILES + conversation_lines(spark, folder).count() // LINES_PER_FILE
+    titles = conversation_titles(spark, folder).select(
+        "movieId", (F.col("movieId") % (2 * numbers)).alias("number")
+    )
+    unknown = F.concat(F.lit("no file "), F.col("number").cast("string"))
+    titles = titles.join(files, "number", "left").select(
+        "movieId", F.coalesce("title", unknown).alias("title")
+    )
+    return path, titles.withColumn("file_key", title_file_key(F.col("title"), ".txt"))
+
+
+def coverage_of_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Titles and whether their file is there, by a listing of the folder."""
+    path, titles = _titles_of_files(spark, folder)
+    files = list_text_files(spark, path, ".txt")
+    found = titles_with_text(titles, files, "file_key").withColumn("srt_exists", F.lit(True))
+    missing = titles_without_text(titles, files, "file_key").withColumn("srt_exists", F.lit(False))
+    return found.unionByName(missing).select("movieId", "srt_exists")
+
+
+def coverage_counts_of_files(spark: SparkSession, folder: str) -> DataFrame:
+    path, titles = _titles_of_files(spark, folder)
+    return coverage_counts(titles, list_text_files(spark, path, ".txt"), "file_key")
+
+
+def _study(spark: SparkSession, folder: str) -> SentimentStudy:
+    """The whole study over files: catalogue, texts and labelled phrases written out."""
+    texts, titles = _line_files(spark, conversation_lines(spark, folder))
+    movies, phrases = new_path(spark, "movies.csv"), new_path(spark, "train.tsv")
+    titles.select("movieId", "title", F.lit("none").alias("genres")).write.csv(
+        movies, header=True, escape='"'
+    )
+    one_line = F.translate("Phrase", "\n\r\t", "   ")
+    labelled(spark, folder).select(
+        "PhraseId", F.lit(0).alias("SentenceId"), one_line.alias("Phrase"), "Sentiment"
+    ).write.csv(phrases, header=True, sep="\t", quote="", emptyValue="", escapeQuotes=False)
+    return SentimentStudy(spark, csv_path=movies, srt_dir=texts, tsv_path=phrases, suffix=".txt")
+
+
+def study_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What a study reads: titles with and without a text, unique phrases and lines."""
+    study = _study(spark, folder)
+    counts = {
+        "n_movies": study.n_movies,
+        "n_movies_without_subs": study.n_movies_without_subs,
+        "n_train": study.df_train.count(),
+        "n_test": study.df_test.count(),
+    }
+    return spark.range(1).select(*(F.lit(n).cast("long").alias(c) for c, n in counts.items()))
+
+
+def study_results(spark: SparkSession, folder: str) -> DataFrame:
+    """The report of the whole study; no SQL, as the fit decides the classes."""
+    study = _study(spark, folder)
+    study.classification()
+    return study.df_results
+
+
 def _records(spark: SparkSession, folder: str, name: str, header: str, record: Column) -> str:
     """A file with one raw ``record`` per document below ``header``."""
     path = new_path(spark, name)
@@ -607,6 +673,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coverage_found": coverage_found,
     "coverage_missing": coverage_missing,
     "coverage_counts": coverage_totals,
+    "coverage_of_files": coverage_of_files,
+    "coverage_counts_of_files": coverage_counts_of_files,
+    "study_counts": study_counts,
+    "study_results": study_results,
     "catalogue_rejects": catalogue_rejects,
     "phrase_rejects": phrase_rejects,
     "subtitle_scan": subtitle_scan,

@@ -10,6 +10,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linetone.functions import title_file_key, title_text_path, words
+from linetone.functions.keys import TEXT_SUFFIX
 from linetone.operators import (
     VOCAB_SIZE,
     bag_of_words,
@@ -55,6 +56,7 @@ class SentimentStudy:
     vocab_size: int = VOCAB_SIZE
     neutral: float = NEUTRAL
     keep_all_titles: bool = False
+    suffix: str = TEXT_SUFFIX
 
     vectoriser: CountVectorizerModel | None = field(default=None, init=False)
     classifier: LogisticRegressionModel | None = field(default=None, init=False)
@@ -74,14 +76,14 @@ class SentimentStudy:
         title = F.col("title")
         return stage(
             self._catalogue[0]
-            .withColumn("file_key", title_file_key(title))
-            .withColumn("srt_path", title_text_path(self.srt_dir, title)),
+            .withColumn("file_key", title_file_key(title, self.suffix))
+            .withColumn("srt_path", title_text_path(self.srt_dir, title, self.suffix)),
             "titles",
         )
 
     @cached_property
     def _files(self) -> DataFrame:
-        return stage(list_text_files(self.spark, self.srt_dir), "files")
+        return stage(list_text_files(self.spark, self.srt_dir, self.suffix), "files")
 
     @property
     def rejected_movies(self) -> DataFrame:
@@ -139,9 +141,11 @@ class SentimentStudy:
         """Unique lines of the titles with ``words_regex`` and ``filtered``."""
         names = None
         if self.limit_movies is not None:  # the limit bounds the list
-            found = self.df_movies.select(title_file_key(F.col("title")).alias("name"))
+            found = self.df_movies.select(title_file_key(F.col("title"), self.suffix).alias("name"))
             names = [row["name"] for row in found.distinct().collect()]
-        lines = read_subtitles(self.spark, self.srt_dir, self.df_movies, names=names)
+        lines = read_subtitles(
+            self.spark, self.srt_dir, self.df_movies, self.suffix, names=names
+        )
         unique = bag_of_words(
             lines,
             order=["movieId", "Phrase"],
