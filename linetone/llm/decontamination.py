@@ -125,7 +125,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
 
     Windows meet in a join on their hash, the items' side sent to all executors if its
     bytes allow it and shuffled otherwise. Case and punctuation don't count. Items of fewer
-    than five words have no window and match nothing, and so do null and empty texts.
+    than five words have no window and match nothing, and so do null and empty texts. Rows
+    without an id are one document, or item.
     Repeated rows are one document. Empty tables give no rows. Only ``doc_id``, ``item_id``
     and ``text`` are used.
     """
@@ -138,7 +139,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     wanted = plain.select(*columns, none.alias("item_slots")).unionByName(
         typed.select(*columns, F.col("slots").alias("item_slots"))
     )
-    wanted = stage(wanted.join(total, "item_id"), "wanted")
+    total = total.withColumnRenamed("item_id", "_item")
+    wanted = wanted.join(total, F.col("item_id").eqNullSafe(F.col("_item"))).drop("_item")
+    wanted = stage(wanted, "wanted")
     hashes = stage(wanted.select("hash").distinct(), "hashes")
     if hashes.count() * 8 <= BROADCAST_BYTES:
         hashes = F.broadcast(hashes)
@@ -258,10 +261,10 @@ pairs AS (
 best AS (
   SELECT p.doc_id, p.item_id, p.plain_n, t.windows,
          greatest(coalesce((SELECT max(n) FROM shifts s ANTI JOIN torn_shifts USING (doc_id, item_id, shift)
-                            WHERE s.doc_id = p.doc_id AND s.item_id = p.item_id), 0),
+                            WHERE s.doc_id = p.doc_id AND s.item_id IS NOT DISTINCT FROM p.item_id), 0),
                   CASE WHEN (p.doc_id, p.item_id) IN (SELECT (doc_id, item_id) FROM torn_pairs)
                        THEN 0 ELSE p.any_n END) AS template_n
-  FROM pairs p JOIN totals t ON t.id = p.item_id),
+  FROM pairs p JOIN totals t ON t.id IS NOT DISTINCT FROM p.item_id),
 judged AS (
   SELECT doc_id, item_id, windows, plain_n >= windows * {COVERAGE} AS verbatim,
          CASE WHEN plain_n >= windows * {COVERAGE} THEN plain_n ELSE template_n END AS matched

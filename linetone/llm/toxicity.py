@@ -198,7 +198,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
 
     ``labels`` has ``doc_id`` and ``label`` (0 or 1). At most ``SAMPLE`` labels, those first by
     hash of the id, are learned from; being so few they are sent to the texts, which stay
-    where they are. Null labels don't count. Without rows of both labels every score is the
+    where they are. Of rows with one id the least text is learned from, so that repeated rows
+    make the sample no larger. Null labels don't count. Without rows of both labels every score is the
     rate of label 1, or 0.
     """
     chosen = labels.where("label is not null and doc_id is not null").select(
@@ -206,8 +207,9 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     )
     chosen = stage(chosen.orderBy("_key", "doc_id", "label").limit(SAMPLE), "chosen")
     share = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(10_000)) / 10_000
-    sample = documents.join(F.broadcast(chosen), "doc_id")
-    sample = stage(sample.select("text", "label", share.alias("_share")), "labelled")
+    sample = documents.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
+    sample = sample.agg(F.min("text").alias("text")).select("text", "label", share.alias("_share"))
+    sample = stage(sample, "labelled")
     totals = sample.agg(F.avg("label"), F.min("label"), F.max("label")).first()
     rate = float(totals[0] or 0.0)
     lexicon = learn_lexicon(sample.where(F.col("_share") < SHARES[0]))

@@ -23,6 +23,65 @@ def test_anchors_are_closed_syncmers():
     assert len(at) > len(text) / (K - S + 1)
 
 
+def plain_fingerprint(text: str) -> str:
+    """With whole numbers and lists, from the definition."""
+    cut = (1 << 64) - 1
+    base, spread = int(fingerprints._BASE), int(fingerprints._MIX)
+
+    def mixed(h):
+        h = (h ^ (h >> 31)) * spread & cut
+        return h ^ (h >> 29)
+
+    def mer(points):
+        h = 0
+        for point in points:
+            h = h * base + point & cut
+        return mixed(h)
+
+    if not text:
+        return ""
+    before = [0x110000 + i for i in range(K - 1)]
+    points = [*before, *map(ord, text), *(p + K for p in before)]
+    seen, first = {}, {}
+    for i in range(len(points) - K + 1):
+        inner = [mer(points[i + j : i + j + S]) for j in range(K - S + 1)]
+        if min(inner) in (inner[0], inner[-1]):
+            anchor = mer(points[i : i + K])
+            nth = seen[anchor] = seen.get(anchor, -1) + 1
+            first.setdefault(mixed(anchor + nth * base & cut) >> 32, i)
+    if not first:
+        return f"{mer(points) >> 32:08x}"
+    chosen = sorted(first)[: fingerprints.ANCHORS]
+    return "".join(f"{h:08x}" for h in sorted(chosen, key=first.get))
+
+
+def plain_likeness(a: str, b: str) -> float:
+    if a == b:
+        return 1.0
+    x, y = ([s[i : i + 8] for i in range(0, len(s), 8)] for s in (a, b))
+    if not x or not y:
+        return 0.0
+    full = [max(s) for s in (x, y) if len(s) == fingerprints.ANCHORS]
+    x, y = ([v for v in s if not full or v <= min(full)] for s in (x, y))
+    longest = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+    for i, v in enumerate(x):
+        for j, w in enumerate(y):
+            longest[i + 1][j + 1] = longest[i][j] + 1 if v == w else max(longest[i][j + 1], longest[i + 1][j])
+    return 2 * longest[-1][-1] / (len(x) + len(y)) if x or y else 0.0
+
+
+TEXTS = ["a", "ab", "same same same same same same", "a" * 300, "é\u20ac\U0001f600" * 40, "x y z", *(prose(i, 9 * i) for i in range(1, 25))]
+
+
+def test_equal_to_plain_python():
+    prints = [fingerprint(t) for t in TEXTS]
+    assert prints == [plain_fingerprint(t) for t in TEXTS]
+    prints += [fingerprint(edited(a, b)) for a, b in zip(TEXTS, TEXTS[1:])] + [""]  # noqa: B905
+    for a in prints[::3]:
+        for b in prints:
+            assert likeness(a, b) == pytest.approx(plain_likeness(a, b))
+
+
 def test_pieces_do_not_show(monkeypatch):
     text = prose(2, 3000)
     whole = fingerprint(text)
