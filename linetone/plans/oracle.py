@@ -86,6 +86,17 @@ train AS (
     FROM labelled_filtered)
   WHERE nth = 1)"""
 
+# A study's training phrases: from a file, which has no empty ones.
+STUDIED = f"""
+{LABELLED},
+studied AS (SELECT * FROM labelled WHERE Phrase <> ''),
+{_words("studied")},
+train AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY filtered ORDER BY PhraseId) AS nth
+    FROM studied_filtered)
+  WHERE nth = 1)"""
+
 CORPUS = f"""
 {CONVERSATION_LINES}, {WORDS}, {UNIQUE}, {UNIQUE_LABELLED},
 corpus AS (SELECT filtered FROM train UNION ALL SELECT filtered FROM uniq)"""
@@ -241,11 +252,12 @@ FROM documents""",
 SELECT count(*) FILTER (WHERE srt_exists) AS found, count(*) FILTER (WHERE NOT srt_exists) AS missing
 FROM flagged""",
     "study_counts": f"""
-WITH {CONVERSATION_LINES}, {WORDS}, {UNIQUE}, {UNIQUE_LABELLED}, {_dealt("lines")}
+WITH {CONVERSATION_LINES}, {WORDS}, {UNIQUE}, {STUDIED}, {_dealt("lines")}
 SELECT (SELECT count(DISTINCT file) + 1 FROM dealt) AS n_movies,
        CAST(1 AS BIGINT) AS n_movies_without_subs,
-       (SELECT count(DISTINCT filtered) FROM train WHERE Phrase <> '') AS n_train,
+       (SELECT count(*) FROM train) AS n_train,
        (SELECT count(*) FROM uniq) AS n_test""",
+    "study_training_predictions": f"WITH {STUDIED} SELECT PhraseId, Sentiment FROM train",
     "catalogue_rejects": _rejects(
         CATALOGUE_FAULTS,
         {"id": "doc_id", "title": "source", "genres": "lang"},

@@ -226,11 +226,16 @@ def study_counts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.range(1).select(*(F.lit(n).cast("long").alias(c) for c, n in counts.items()))
 
 
-def study_results(spark: SparkSession, folder: str) -> DataFrame:
-    """The report of the whole study; no SQL, as the fit decides the classes."""
+def study_training_predictions(spark: SparkSession, folder: str) -> DataFrame:
+    """The class that a whole study, from its files to its fit, gives each training phrase.
+
+    It is the phrase's label (see :func:`lr_training_predictions`). The report is made, too.
+    """
     study = _study(spark, folder)
     study.classification()
-    return study.df_results
+    stage(study.df_results, "report")
+    predicted = study.classifier.transform(study.df_train)
+    return predicted.select("PhraseId", F.col("Sentiment_Predicted").cast("int").alias("Sentiment"))
 
 
 def _records(spark: SparkSession, folder: str, name: str, header: str, record: Column) -> str:
@@ -676,7 +681,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coverage_of_files": coverage_of_files,
     "coverage_counts_of_files": coverage_counts_of_files,
     "study_counts": study_counts,
-    "study_results": study_results,
+    "study_training_predictions": study_training_predictions,
     "catalogue_rejects": catalogue_rejects,
     "phrase_rejects": phrase_rejects,
     "subtitle_scan": subtitle_scan,

@@ -38,6 +38,7 @@ def test_fitted_report(spark):
 
 
 FILE_QUERIES = {
+    "catalogue_inferred",
     "catalogue_scan",
     "catalogue_rejects",
     "phrase_rejects",
@@ -45,8 +46,12 @@ FILE_QUERIES = {
     "subtitle_scan",
     "subtitle_whole",
     "subtitle_cues",
+    "coverage_of_files",
+    "coverage_counts_of_files",
+    "study_counts",
+    "study_training_predictions",
 }
-FITTED = {"lr_training_predictions", "lr_class_counts", "model_round_trip"}
+FITTED = {"lr_training_predictions", "lr_class_counts", "lr_weight_scores", "model_round_trip"}
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - FILE_QUERIES - FITTED))
