@@ -5,15 +5,20 @@ DataFrame functions only: texts stay in the JVM and are never shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from linetone.functions import ENGLISH
 from linetone.session import stage
 
 WINDOW = 5
 COVERAGE = 0.8
 
-# A window is told by its words: this many of them are no placeholders.
-WORDS_IN_WINDOW = 2
+# Items of fewer words than a window are one window. From this many words on they count
+# wherever they stand; shorter ones only as a sentence of their own.
+LOOSE = 3
 
 # Bytes of window hashes up to which they are sent to every executor.
 BROADCAST_BYTES = 64 << 20
@@ -23,8 +28,8 @@ MARK = r"[.!?:\n]"
 NUMBER = r"^\p{N}"
 NAME = r"^\p{Lu}[\p{Ll}\p{M}]+$"
 
-# What makes typed words differ from plain ones: a number, or a capital within a sentence.
-SLOTTED = r"\p{N}|[\p{L}\p{N}][^.!?:\n\p{L}\p{N}]+\p{Lu}[\p{Ll}\p{M}]"
+# What makes typed words differ from plain ones: a number or a capitalised word.
+SLOTTED = r"\p{N}|\p{Lu}[\p{Ll}\p{M}]"
 
 # Names of units, singular and plural.
 UNITS = (
@@ -58,12 +63,60 @@ def plain_windows(texts: DataFrame, key: str) -> DataFrame:
     return windows.where("hash is not null")
 
 
-def typed_windows(texts: DataFrame, key: str) -> DataFrame:
-    """``key``, ``pos``, ``hash``, ``slots`` of each window that has a placeholder.
+def _is_mark(token: Column) -> Column:
+    return token.rlike(f"^{MARK}$")
+
+
+def short_items(items: DataFrame) -> DataFrame:
+    """``item_id``, ``pos``, ``hash``, ``words`` of items with fewer words than a window."""
+    words = items.select(
+        "item_id", F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0)).alias("all")
+    ).where(F.size("all").between(1, WINDOW - 1))
+    hashed = (F.when(F.size("all") == n, _hash("all", F.lit(0), n)) for n in range(1, WINDOW))
+    return words.select("item_id", F.lit(0).alias("pos"), F.coalesce(*hashed).alias("hash"), F.size("all").alias("words"))
+
+
+def _hash(words: str, start: Column, length: int) -> Column:
+    return F.xxhash64(*(F.get(words, start + k) for k in range(length)))
+
+
+def short_windows(texts: DataFrame, key: str, lengths: list[int]) -> DataFrame:
+    """``key``, ``pos``, ``hash`` of what may be a short item, for items of ``lengths`` words."""
+    tokens = texts.select(
+        key, F.regexp_extract_all(F.lower("text"), F.lit(f"{TOKEN}|{MARK}"), F.lit(0)).alias("tokens")
+    )
+    words = F.transform(
+        "tokens",
+        lambda t, i: F.struct(t.alias("word"), ((i == 0) | _is_mark(F.get("tokens", i - 1))).alias("opens")),
+    )
+    words = tokens.select(key, F.filter(words, lambda w: ~_is_mark(w["word"])).alias("all"))
+    words = words.select(key, F.col("all.word").alias("word"), F.col("all.opens").alias("opens"))
+
+    def windows(length: int) -> Column:
+        starts = F.coalesce(
+            F.when(F.size("word") >= length, F.sequence(F.lit(0), F.size("word") - length)),
+            F.array().cast("array<int>"),
+        )
+        if length < LOOSE:
+            starts = F.filter(
+                starts,
+                lambda i: F.get("opens", i) & F.coalesce(F.get("opens", i + length), F.lit(True)),
+            )
+        return F.transform(starts, lambda i: F.struct(i.alias("pos"), _hash("word", i, length).alias("hash")))
 
-    A number, a unit after a number, and a capitalised word within a sentence become
-    placeholders of their type; ``slots`` has what they stand for. The opening word of a
-    window is no name, as a passage may open anywhere in a sentence of its host.
+    found = words.select(key, F.flatten(F.array(*map(windows, lengths))).alias("windows"))
+    return found.select(key, F.explode_outer("windows").alias("w")).select(key, "w.*").where("hash is not null")
+
+
+def typed_windows(texts: DataFrame, key: str) -> DataFrame:
+    """``key``, ``pos``, ``hash``, ``slots``, ``dense`` of each window that has a placeholder.
+
+    A number, a unit after a number, and a capitalised word become placeholders of their
+    type; ``slots`` has what they stand for. A capital at the start of a sentence may or
+    may not be a name's, and the window's own first word may open its sentence in another
+    host. So a window with such a word, stop words apart, has two readings, one with these
+    as words and one with all of them as names. A window of placeholders only has
+    ``dense`` true and null as ``hash``.
     """
     tokens = texts.where(F.col("text").rlike(SLOTTED)).select(
         key, F.regexp_extract_all("text", F.lit(f"{TOKEN}|{MARK}"), F.lit(0)).alias("tokens")
@@ -71,47 +124,59 @@ def typed_windows(texts: DataFrame, key: str) -> DataFrame:
 
     def typed(token: Column, i: Column) -> Column:
         before = F.when(i > 0, F.get("tokens", i - 1))
+        opens = F.coalesce(_is_mark(before), F.lit(True))
         lower = F.lower(token)
         kind = (
             F.when(token.rlike(NUMBER), "<number>")
             .when(before.rlike(NUMBER) & lower.isin(UNITS), "<unit>")
-            .when(~before.rlike(f"^{MARK}$") & token.rlike(NAME), "<name>")
+            .when(token.rlike(NAME) & ~(opens & lower.isin(*ENGLISH)), "<name>")
             .otherwise(lower)
         )
-        return F.struct(lower.alias("word"), kind.alias("kind"))
+        return F.struct(lower.alias("word"), kind.alias("kind"), opens.alias("opens"))
 
     words = tokens.select(key, F.transform("tokens", typed).alias("all"))
-    words = words.select(key, F.filter("all", lambda w: ~w["word"].rlike(f"^{MARK}$")).alias("all"))
+    words = words.select(key, F.filter("all", lambda w: ~_is_mark(w["word"])).alias("all"))
+
+    def unnamed(w: Column) -> Column:
+        return F.when(w["kind"] == "<name>", w["word"]).otherwise(w["kind"])
+
     words = words.select(
         key,
         F.col("all.word").alias("word"),
         F.col("all.kind").alias("kind"),
-        F.transform("all", lambda w: F.when(w["kind"] == "<name>", w["word"]).otherwise(w["kind"])).alias("first"),
+        F.transform("all", unnamed).alias("first"),
+        F.transform("all", lambda w: F.when(w["opens"], unnamed(w)).otherwise(w["kind"])).alias("sure"),
     )
+    places = range(WINDOW)
 
-    def opening(i: Column, k: int) -> Column:
-        return F.get("kind" if k else "first", i + k)
-
-    def slot(i: Column, k: int) -> Column:
-        return F.when(opening(i, k) != F.get("word", i + k), F.get("word", i + k))
+    def differs(i: Column, a: list[str], b: list[str]) -> Column:
+        unequal = (F.get(x, i + k) != F.get(y, i + k) for k, (x, y) in enumerate(zip(a, b, strict=True)))
+        return reduce(or_, unequal)
 
-    starts = F.filter(
-        _starts(F.col("word")),
-        lambda i: F.coalesce(*(slot(i, k) for k in range(WINDOW))).isNotNull(),
-    )
+    plain, names, sure = ["word"] * WINDOW, ["kind"] * WINDOW, ["first"] + ["sure"] * (WINDOW - 1)
+    starts = F.filter(_starts(F.col("word")), lambda i: differs(i, names, plain))
     words = words.select("*", starts.alias("starts"))
-    windows = F.transform(
-        "starts",
-        lambda i: F.struct(
-            i.alias("pos"),
-            F.xxhash64(*(opening(i, k) for k in range(WINDOW))).alias("hash"),
-            F.array_compact(F.array(*(slot(i, k) for k in range(WINDOW)))).alias("slots"),
-        ),
+
+    def reading(i: Column, of: list[str]) -> Column:
+        said = [F.get(of[k], i + k) for k in places]
+        slots = F.array_compact(
+            F.array(*(F.when(said[k] != F.get("word", i + k), F.get("word", i + k)) for k in places))
+        )
+        return F.struct(i.alias("pos"), F.xxhash64(*said).alias("hash"), slots.alias("slots"))
+
+    windows = F.flatten(
+        F.transform(
+            "starts",
+            lambda i: F.array(reading(i, names), F.when(differs(i, sure, names), reading(i, sure))),
+        )
     )
     # What is exploded carries the key only, not the words.
     found = words.select(key, windows.alias("windows"))
     found = found.select(key, F.explode_outer("windows").alias("w")).select(key, "w.*")
-    return found.where(F.size("slots").between(1, WINDOW - WORDS_IN_WINDOW))
+    dense = F.size("slots") == WINDOW
+    return found.where(F.size("slots") > 0).select(
+        key, "pos", F.when(~dense, F.col("hash")).alias("hash"), "slots", dense.alias("dense")
+    )
 
 
 def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -121,25 +186,37 @@ def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     document has, ``coverage`` their share, ``kind`` how: ``verbatim`` if enough windows of
     plain words are shared, wherever they are; ``template`` if enough are shared once
     numbers, units and names are placeholders, and each of the item's values stands for
-    one value in the document, either at one offset or over the whole document.
+    one value in the document, either at one offset or over the whole document. A window of
+    placeholders only says nothing of its item: ``template`` leaves it out of ``windows``
+    and of ``matched``, whatever the number of other windows.
 
     Windows meet in a join on their hash, the items' side sent to all executors if its
-    bytes allow it and shuffled otherwise. Case and punctuation don't count. Items of fewer
-    than five words have no window and match nothing, and so do null and empty texts. Rows
-    without an id are one document, or item.
-    Repeated rows are one document. Empty tables give no rows. Only ``doc_id``, ``item_id``
-    and ``text`` are used.
+    bytes allow it and shuffled otherwise. Case and punctuation don't count. An item of
+    fewer than five words is one window, found verbatim only: with three or four words
+    anywhere, with one or two where it is a sentence of its own. Items and documents
+    without words, null and empty texts match nothing. Rows without an id are one document,
+    or item. Repeated rows are one document. Empty tables give no rows. Only ``doc_id``,
+    ``item_id`` and ``text`` are used.
     """
     items, documents = benchmark.select("item_id", "text"), documents.select("doc_id", "text")
-    plain = stage(plain_windows(items, "item_id"), "item_windows")
-    typed = typed_windows(items, "item_id")
-    total = plain.groupBy("item_id").agg(F.countDistinct("pos").alias("windows"))
+    short = stage(short_items(items), "short_items")
+    lengths = sorted(r["words"] for r in short.select("words").distinct().collect())  # four at most
+    plain = plain_windows(items, "item_id").unionByName(short.drop("words"))
+    plain = stage(plain, "item_windows")
+    typed = stage(typed_windows(items, "item_id"), "item_templates")
+    dense = typed.where("dense").select(F.col("item_id").alias("_item"), F.col("pos").alias("_pos")).distinct()
     columns = ["item_id", F.col("pos").alias("item_pos"), "hash"]
     none = F.lit(None).cast("array<string>")
     wanted = plain.select(*columns, none.alias("item_slots")).unionByName(
-        typed.select(*columns, F.col("slots").alias("item_slots"))
+        typed.where("hash is not null").select(*columns, F.col("slots").alias("item_slots"))
+    )
+    same = F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("item_pos") == F.col("_pos"))
+    wanted = wanted.join(dense, same, "left").withColumn("counts", F.col("_pos").isNull()).drop("_item", "_pos")
+    wanted = stage(wanted, "told_windows")
+    total = wanted.groupBy(F.col("item_id").alias("_item")).agg(
+        F.countDistinct("item_pos").alias("windows"),
+        F.countDistinct(F.when(F.col("counts"), F.col("item_pos"))).alias("templates"),
     )
-    total = total.withColumnRenamed("item_id", "_item")
     wanted = wanted.join(total, F.col("item_id").eqNullSafe(F.col("_item"))).drop("_item")
     wanted = stage(wanted, "wanted")
     hashes = stage(wanted.select("hash").distinct(), "hashes")
@@ -147,25 +224,29 @@ def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
         hashes = F.broadcast(hashes)
     found = plain_windows(documents, "doc_id").join(hashes, "hash", "left_semi")
     found = found.withColumn("slots", none).unionByName(
-        typed_windows(documents, "doc_id").join(hashes, "hash", "left_semi")
+        typed_windows(documents, "doc_id").drop("dense").join(hashes, "hash", "left_semi")
     )
+    if lengths:
+        whole = short_windows(documents, "doc_id", lengths).join(hashes, "hash", "left_semi")
+        found = found.unionByName(whole.withColumn("slots", none))
     found = stage(found, "found")
     met = found.join(wanted, "hash").where(
         F.col("slots").isNull() == F.col("item_slots").isNull()
     )
     plain_at = F.when(F.col("slots").isNull(), F.col("item_pos"))
     zipped = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
+    pair = ["doc_id", "item_id", "windows", "templates"]
     by_shift = met.groupBy(
-        "doc_id", "item_id", "windows", (F.col("pos") - F.col("item_pos")).alias("shift")
+        *pair, (F.col("pos") - F.col("item_pos")).alias("shift")
     ).agg(
         F.collect_set(plain_at).alias("plain"),
-        F.collect_set("item_pos").alias("any"),
+        F.collect_set(F.when(F.col("counts"), F.col("item_pos"))).alias("any"),
         F.array_distinct(F.flatten(F.collect_set(zipped))).alias("values"),
     )
     by_shift = by_shift.withColumn(
         "aligned", F.when(_consistent(F.col("values")), F.size("any")).otherwise(0)
     )
-    by_pair = by_shift.groupBy("doc_id", "item_id", "windows").agg(
+    by_pair = by_shift.groupBy(*pair).agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("plain")))).alias("plain"),
         F.size(F.array_distinct(F.flatten(F.collect_list("any")))).alias("any"),
         F.array_distinct(F.flatten(F.collect_list("values"))).alias("values"),
@@ -174,17 +255,16 @@ def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     template = F.greatest("aligned", F.when(_consistent(F.col("values")), F.col("any")).otherwise(0))
     verbatim = F.col("plain") >= F.col("windows") * F.lit(coverage)
     matched = F.when(verbatim, F.col("plain")).otherwise(template).cast("long")
-    return (
-        by_pair.select(
-            "doc_id",
-            "item_id",
-            "windows",
-            matched.alias("matched"),
-            (matched / F.col("windows")).alias("coverage"),
-            F.when(verbatim, "verbatim").otherwise("template").alias("kind"),
-        )
-        .where(F.col("matched") >= F.col("windows") * F.lit(coverage))
+    windows = F.when(verbatim, F.col("windows")).otherwise(F.col("templates"))
+    judged = by_pair.select(
+        "doc_id",
+        "item_id",
+        windows.alias("windows"),
+        matched.alias("matched"),
+        F.try_divide(matched, windows).alias("coverage"),
+        F.when(verbatim, "verbatim").otherwise("template").alias("kind"),
     )
+    return judged.where((F.col("matched") > 0) & (F.col("matched") >= F.col("windows") * F.lit(coverage)))
 
 
 def _consistent(values: Column) -> Column:
@@ -204,7 +284,9 @@ def without_leaks(
 # The same with windows compared as lists of words, for DuckDB.
 _UNIT_LIST = ", ".join(f"'{u}'" for u in UNITS)
 _TYPED = r"regexp_matches({}, '{}')"
+_STOP_LIST = ", ".join("'" + word.replace("'", "''") + "'" for word in ENGLISH)
 _ONLY_MARK = f"^{MARK}$"
+_OPENS = f"(i = 1 OR {_TYPED.format('t[i - 1]', _ONLY_MARK)})"
 ORACLE_SQL = rf"""
 WITH texts AS (
   SELECT 'document' AS side, doc_id AS id, text FROM documents
@@ -216,33 +298,57 @@ marked AS (SELECT side, id, regexp_extract_all(text, '{TOKEN}|{MARK}') AS t FROM
 kinds AS (
   SELECT side, id, list_filter(list_transform(range(1, len(t) + 1), lambda i: struct_pack(
     word := lower(t[i]),
+    opens := {_OPENS},
     kind := CASE WHEN {_TYPED.format('t[i]', NUMBER)} THEN '<number>'
                  WHEN i > 1 AND {_TYPED.format('t[i - 1]', NUMBER)}
                       AND list_contains([{_UNIT_LIST}], lower(t[i])) THEN '<unit>'
-                 WHEN i > 1 AND NOT {_TYPED.format('t[i - 1]', _ONLY_MARK)}
-                      AND {_TYPED.format('t[i]', NAME)} THEN '<name>'
+                 WHEN {_TYPED.format('t[i]', NAME)}
+                      AND NOT ({_OPENS} AND list_contains([{_STOP_LIST}], lower(t[i]))) THEN '<name>'
                  ELSE lower(t[i]) END)),
     lambda s: NOT {_TYPED.format('s.word', _ONLY_MARK)}) AS w
   FROM marked),
 typed AS (
   SELECT side, id, w[pos + 1:pos + {WINDOW}] AS w, pos
   FROM (SELECT side, id, w, unnest(range(greatest(len(w) - {WINDOW - 1}, 0))) AS pos FROM kinds)),
-slotted AS (
-  SELECT side, id, pos,
-         list_transform(w, lambda s, i: CASE WHEN i = 1 AND s.kind = '<name>' THEN s.word ELSE s.kind END) AS win,
-         list_transform(list_filter(w, lambda s, i: s.kind <> s.word AND NOT (i = 1 AND s.kind = '<name>')),
-                        lambda s: s.word) AS slots
+readings AS (
+  SELECT side, id, pos, w, list_transform(w, lambda s: s.kind) AS win FROM typed
+  UNION
+  SELECT side, id, pos, w,
+         list_transform(w, lambda s, i: CASE WHEN s.kind = '<name>' AND (i = 1 OR s.opens) THEN s.word ELSE s.kind END)
   FROM typed),
+slotted AS (
+  SELECT side, id, pos, win,
+         list_transform(list_filter(w, lambda s, i: s.word <> win[i]), lambda s: s.word) AS slots
+  FROM readings),
+dense AS (
+  SELECT DISTINCT id, pos FROM slotted WHERE side = 'item' AND len(slots) = {WINDOW}),
+sentences AS (
+  SELECT side, id, list_transform(w, lambda s: s.word) AS w, list_transform(w, lambda s: s.opens) AS o FROM kinds),
+short AS (
+  SELECT side, id, 0 AS pos, w AS win FROM sentences WHERE side = 'item' AND len(w) BETWEEN 1 AND {WINDOW - 1}),
+pieces AS (
+  SELECT side, id, w, o, n, unnest(range(greatest(len(w) - n + 1, 0))) AS pos
+  FROM sentences, (SELECT DISTINCT len(win) AS n FROM short) WHERE side = 'document'),
 windows AS (
   SELECT DISTINCT side, id, pos, w[pos + 1:pos + {WINDOW}] AS win, NULL::VARCHAR[] AS slots FROM plain
   UNION ALL
-  SELECT DISTINCT side, id, pos, win, slots FROM slotted
-  WHERE len(slots) BETWEEN 1 AND {WINDOW - WORDS_IN_WINDOW}),
-totals AS (SELECT id, count(DISTINCT pos) AS windows FROM plain WHERE side = 'item' GROUP BY id),
+  SELECT DISTINCT side, id, pos, win, slots FROM slotted WHERE len(slots) BETWEEN 1 AND {WINDOW - 1}
+  UNION ALL
+  SELECT DISTINCT side, id, pos, win, NULL FROM short
+  UNION ALL
+  SELECT DISTINCT side, id, pos, w[pos + 1:pos + n], NULL FROM pieces
+  WHERE n >= {LOOSE} OR (o[pos + 1] AND coalesce(o[pos + n + 1], true))),
+told AS (
+  SELECT w.*, NOT EXISTS (
+    SELECT 1 FROM dense d WHERE d.id IS NOT DISTINCT FROM w.id AND d.pos = w.pos) AS counts
+  FROM windows w WHERE side = 'item'),
+totals AS (
+  SELECT id, count(DISTINCT pos) AS windows, count(DISTINCT pos) FILTER (WHERE counts) AS templates
+  FROM told GROUP BY id),
 met AS (
-  SELECT d.id AS doc_id, b.id AS item_id, b.pos, d.pos - b.pos AS shift, d.slots, b.slots AS item_slots
-  FROM windows d JOIN windows b ON d.win = b.win AND (d.slots IS NULL) = (b.slots IS NULL)
-  WHERE d.side = 'document' AND b.side = 'item'),
+  SELECT d.id AS doc_id, b.id AS item_id, b.pos, b.counts, d.pos - b.pos AS shift, d.slots, b.slots AS item_slots
+  FROM windows d JOIN told b ON d.win = b.win AND (d.slots IS NULL) = (b.slots IS NULL)
+  WHERE d.side = 'document'),
 stands_for AS (
   SELECT DISTINCT doc_id, item_id, shift, unnest(item_slots) AS i, unnest(slots) AS d FROM met
   WHERE slots IS NOT NULL),
@@ -253,23 +359,24 @@ torn_pairs AS (
   SELECT doc_id, item_id FROM stands_for
   GROUP BY ALL HAVING count(DISTINCT (i, d)) > count(DISTINCT i)),
 shifts AS (
-  SELECT doc_id, item_id, shift, count(DISTINCT pos) AS n FROM met GROUP BY ALL),
+  SELECT doc_id, item_id, shift, count(DISTINCT pos) FILTER (WHERE counts) AS n FROM met GROUP BY ALL),
 pairs AS (
   SELECT doc_id, item_id, count(DISTINCT pos) FILTER (WHERE slots IS NULL) AS plain_n,
-         count(DISTINCT pos) AS any_n
+         count(DISTINCT pos) FILTER (WHERE counts) AS any_n
   FROM met GROUP BY ALL),
 best AS (
-  SELECT p.doc_id, p.item_id, p.plain_n, t.windows,
+  SELECT p.doc_id, p.item_id, p.plain_n, t.windows, t.templates,
          greatest(coalesce((SELECT max(n) FROM shifts s ANTI JOIN torn_shifts USING (doc_id, item_id, shift)
                             WHERE s.doc_id = p.doc_id AND s.item_id IS NOT DISTINCT FROM p.item_id), 0),
                   CASE WHEN (p.doc_id, p.item_id) IN (SELECT (doc_id, item_id) FROM torn_pairs)
                        THEN 0 ELSE p.any_n END) AS template_n
   FROM pairs p JOIN totals t ON t.id IS NOT DISTINCT FROM p.item_id),
 judged AS (
-  SELECT doc_id, item_id, windows, plain_n >= windows * {COVERAGE} AS verbatim,
-         CASE WHEN plain_n >= windows * {COVERAGE} THEN plain_n ELSE template_n END AS matched
-  FROM best)
+  SELECT doc_id, item_id, plain_n >= b.windows * {COVERAGE} AS verbatim,
+         CASE WHEN verbatim THEN b.windows ELSE templates END AS windows,
+         CASE WHEN verbatim THEN plain_n ELSE template_n END AS matched
+  FROM best b)
 SELECT doc_id, item_id, windows, matched, matched / windows AS coverage,
        CASE WHEN verbatim THEN 'verbatim' ELSE 'template' END AS kind
-FROM judged WHERE matched >= windows * {COVERAGE}
+FROM judged WHERE matched > 0 AND matched >= windows * {COVERAGE}
 """

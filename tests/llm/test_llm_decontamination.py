@@ -71,8 +71,55 @@ def test_odd_and_empty_tables(spark):
     assert without_leaks(odd, bench.limit(0)).count() == odd.count()
 
 
-def test_equal_to_sql(found, tmp_path):
-    df, bench, _ = found
+QUESTIONS = {
+    1: "Alice has 12 apples. Bob gives her 7 more. Alice then eats 3. How many apples does Alice have now?",
+    2: "What is 12 + 15 + 18 + 21?",
+    3: "Compute 3 5 8 13 21 34 55 next",
+    4: "What is photosynthesis?",
+    5: "Define entropy",
+    6: "What is the capital of France?",
+    7: "1 2 3 4 5 6",
+    8: "St. Petersburg!",
+    9: "12 15 18 21 24 27 30 and so on until Anna Berta Carla Dora Emma rest",
+}
+
+SEEN = {
+    10: ({1}, "Carla has 31 apples. Dan gives her 9 more. Carla then eats 5. How many apples does Carla have now?"),
+    11: ({1}, "so then carla said: " + QUESTIONS[1].lower()),
+    12: (set(), "Carla has 31 apples. Dan gives her 9 more. Emil then eats 5. How many apples does Fred have now?"),
+    20: ({2}, "He asked: What is 3 + 7 + 9 + 11? Nobody knew."),
+    21: (set(), "What is 3 + 7 + 9? Nobody knew."),
+    30: ({3}, "First compute 1 2 4 7 11 16 22 next and go home."),
+    31: (set(), "Compute 1 2 4 7, that is all there is to say here"),
+    32: (set(), " ".join(str(n) for n in range(40, 400))),
+    40: ({4}, "We now ask: what is photosynthesis? It feeds plants."),
+    41: ({4}, "and nobody there knows what is photosynthesis or why"),
+    50: ({5}, "Short quiz. Define entropy. Then rest."),
+    51: (set(), "It is hard to define entropy in a few words."),
+    60: ({6}, "She asks what is the capital of Italy and waits."),
+    61: (set(), "Paris is the capital of Italy, he said, and was wrong."),
+    70: ({7}, "the row 1 2 3 4 5 6 goes on"),
+    80: ({8}, "Where? St. Petersburg. Good."),
+    81: (set(), "From St. Petersburg with love."),
+    90: ({9}, "2 4 6 8 10 12 14 and so on until Rosa Stella Tina Ute Vera rest"),
+}
+
+
+@pytest.fixture(scope="module")
+def questions(spark):
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in SEEN.items()], "doc_id long, text string")
+    bench = spark.createDataFrame(list(QUESTIONS.items()), "item_id long, text string")
+    return docs, bench
+
+
+def test_names_at_sentence_starts_dense_numbers_and_short_items(questions):
+    pairs = {(r["doc_id"], r["item_id"]) for r in leaks(*questions).collect()}
+    assert pairs == {(doc, item) for doc, (items, _) in SEEN.items() for item in items}
+
+
+@pytest.mark.parametrize("tables", ["found", "questions"])
+def test_equal_to_sql(tables, request, tmp_path):
+    df, bench = request.getfixturevalue(tables)[:2]
     df = df.where("doc_id is not null")
     df.write.parquet(f"{tmp_path}/documents")
     bench.write.parquet(f"{tmp_path}/benchmark")
