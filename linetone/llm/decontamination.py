@@ -90,7 +90,11 @@ def short_windows(texts: DataFrame, key: str, lengths: list[int]) -> DataFrame:
         lambda t, i: F.struct(t.alias("word"), ((i == 0) | _is_mark(F.get("tokens", i - 1))).alias("opens")),
     )
     words = tokens.select(key, F.filter(words, lambda w: ~_is_mark(w["word"])).alias("all"))
-    words = words.select(key, F.col("all.word").alias("word"), F.col("all.opens").alias("opens"))
+    words = words.select(
+        key,
+        F.transform("all", lambda w: w["word"]).alias("word"),
+        F.transform("all", lambda w: w["opens"]).alias("opens"),
+    )
 
     def windows(length: int) -> Column:
         starts = F.coalesce(
@@ -142,8 +146,9 @@ def typed_windows(texts: DataFrame, key: str) -> DataFrame:
 
     words = words.select(
         key,
-        F.col("all.word").alias("word"),
-        F.col("all.kind").alias("kind"),
+        # Not all.word, which Spark would work out anew at every place it is used.
+        F.transform("all", lambda w: w["word"]).alias("word"),
+        F.transform("all", lambda w: w["kind"]).alias("kind"),
         F.transform("all", unnamed).alias("first"),
         F.transform("all", lambda w: F.when(w["opens"], unnamed(w)).otherwise(w["kind"])).alias("sure"),
     )
