@@ -47,16 +47,18 @@ def read_weights(spark: SparkSession, path: str) -> DataFrame:
     record = spark.read.schema(RECORD).parquet(f"{path.rstrip('/')}/data")
     shift = F.when(F.col("isMultinomial"), 0).otherwise(1)
     turned = F.col("coefficientMatrix.isTransposed")
+    # The list is a column of its own: exploded beside the record, every cell would be given a
+    # copy of the whole matrix. The outer form, as the plain one works the list out twice.
     cells = record.select(
-        turned.alias("turned"), shift.alias("shift"), F.explode(_cells(F.col("coefficientMatrix"))).alias("cell")
-    ).select(
+        turned.alias("turned"), shift.alias("shift"), _cells(F.col("coefficientMatrix")).alias("cells")
+    )
+    cells = cells.select("turned", "shift", F.explode_outer("cells").alias("cell")).select(
         F.when(F.col("turned"), F.col("cell.fast")).otherwise(F.col("cell.slow")).alias("idx"),
         (F.when(F.col("turned"), F.col("cell.slow")).otherwise(F.col("cell.fast")) + F.col("shift")).alias("class"),
         F.col("cell.weight").alias("weight"),
     )
-    constants = record.select(
-        shift.alias("shift"), F.explode(_entries(F.col("interceptVector"))).alias("cell")
-    ).select(
+    constants = record.select(shift.alias("shift"), _entries(F.col("interceptVector")).alias("cells"))
+    constants = constants.select("shift", F.explode_outer("cells").alias("cell")).select(
         F.lit(INTERCEPT).alias("idx"),
         (F.col("cell.place") + F.col("shift")).alias("class"),
         F.col("cell.weight").alias("weight"),
@@ -86,9 +88,12 @@ def _cells(matrix: Column) -> Column:
         )
 
     def line(slow: Column) -> Column:
-        start = F.get(matrix["colPtrs"], slow)
-        values = F.slice(matrix["values"], start + 1, F.get(matrix["colPtrs"], slow + 1) - start)
-        return F.transform(values, lambda v, i: cell(F.get(matrix["rowIndices"], start + i), slow, v))
+        # By place and not by slice, which goes through the whole list for every line.
+        start, end = F.get(matrix["colPtrs"], slow), F.get(matrix["colPtrs"], slow + 1)
+        places = F.when(end > start, F.sequence(start, end - 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(
+            places, lambda p: cell(F.get(matrix["rowIndices"], p), slow, F.get(matrix["values"], p))
+        )
 
     dense = F.transform(matrix["values"], lambda v, i: cell(i % fast_size, F.floor(i / fast_size), v))
     lines = F.sequence(F.lit(0), F.size(matrix["colPtrs"]) - 2)

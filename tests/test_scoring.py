@@ -153,3 +153,14 @@ def test_weights_of_a_saved_model_score_as_it_does(spark, tmp_path, labels, opti
         known = by_model[row["movieId"]]
         assert row["class"] == known["Sentiment_Predicted"]
         assert [row[f"probability_{k}"] for k in range(classes)] == pytest.approx(list(known["probability"]))
+
+
+def test_a_weight_travels_without_the_matrix(spark, tmp_path):
+    """No row per cell is made beside the record, and no line of a matrix by a pass over all."""
+    train = spark.createDataFrame([(["good"], 1), (["bad"], 0), (["dull"], 2)], "filtered array<string>, Sentiment int")
+    model = fit_classifier(fit_vectoriser(train).transform(train))
+    plan = plan_of(read_weights(spark, save_classifier(model, str(tmp_path / "model"))))
+    made = [line for line in plan.splitlines() if "Generate " in line]
+    assert len(made) == 2
+    assert not any("coefficientMatrix" in line or "interceptVector" in line for line in made)
+    assert "slice(" not in plan
