@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+import linetone.streaming.phrases
 from linetone.operators import add_words, bag_of_words, fit_vectoriser, score_phrases, title_report
 from linetone.session import complete_folders
 from linetone.streaming import (
@@ -171,3 +172,32 @@ def test_ranks_sort_as_their_columns(spark):
     assert by_rank == [tuple(r) for r in pairs.orderBy(*ORDER).collect()]
     back = ranked.select("movieId", "turn", *(rank_value(F.col("rank"), i).alias(f"v{i}") for i in (0, 1)))
     assert all(r["movieId"] == r["v0"] and r["turn"] == r["v1"] for r in back.collect())
+
+
+def test_phrases_share_a_value_of_the_state(spark, tmp_path, monkeypatch):
+    """The state is called and written per bucket, not per phrase, and late rows still take over."""
+    monkeypatch.setattr(linetone.streaming.phrases, "BUCKETS", 2)
+    words = [f"word{chr(97 + i)}" for i in range(20)]
+    later = [(2, i, w) for i, w in enumerate(words)]
+    earlier = [(1, i, w) for i, w in enumerate(words[:5])]
+    kept, values = str(tmp_path / "kept"), []
+
+    def run(lines):
+        query = (
+            phrase_changes(lines, ORDER)
+            .writeStream.outputMode("update")
+            .option("checkpointLocation", f"{kept}/checkpoint")
+            .trigger(availableNow=True)
+            .foreachBatch(lambda changes, batch_id: keep_changes(changes, batch_id, kept))
+            .start()
+        )
+        query.awaitTermination()
+        values.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+        return query
+
+    arrive(spark, tmp_path, [later, earlier], run)
+    assert values == [2, 2]
+    found = rows(surviving_phrases(spark, kept, ORDER), "phrase_key", "movieId", "turn")
+    assert found == sorted((w, 1 if i < 5 else 2, i) for i, w in enumerate(words))
+    moved = spark.read.parquet(f"{kept}/changes/batch=1").where("before is not null")
+    assert moved.count() == 5
