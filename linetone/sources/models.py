@@ -88,7 +88,7 @@ def _cells(matrix: Column) -> Column:
         )
 
     def line(slow: Column) -> Column:
-        # By place and not by slice, which goes through the whole list for every line.
+        # By place, so that no line depends on how a part of a list is taken.
         start, end = F.get(matrix["colPtrs"], slow), F.get(matrix["colPtrs"], slow + 1)
         places = F.when(end > start, F.sequence(start, end - 1)).otherwise(F.array().cast("array<int>"))
         return F.transform(
