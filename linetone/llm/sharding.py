@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linetone.llm.names import numbered, restored
@@ -74,9 +76,10 @@ def minimax_shards(
     )
     laid = stage(laid, "laid")
     ends = laid.where(~apart).groupBy("_ahead", group).agg(
-        F.max("_end").alias("_end"), F.max("_nth").alias("_nth")
+        F.max("_end").alias("_end"), F.max("_nth").alias("_nth"), F.sum("_size").alias("_size")
     )
-    ends = ends.select("_end", "_nth").unionByName(laid.where(apart).select("_end", "_nth"))
+    ends = ends.select("_end", "_nth", "_size").unionByName(laid.where(apart).select("_end", "_nth", "_size"))
+    ends = ends.select((F.col("_end") - F.col("_size")).alias("_start"), "_end", "_nth")
     ends = ends.repartitionByRange("_end").sortWithinPartitions("_end")
     ends = stage(ends, "ends")
 
@@ -111,11 +114,11 @@ def _least_cuts(ends: DataFrame, start: int, total: int, bound: int, shards: int
         return []
     low = max(bound, -(-(total - start) // shards))
     high = max(low, -(-(total - start) // shards) + bound)
-    filled = _fill(ends, start, total, bound, shards, [high])[high]
+    filled = _fill(ends, start, total, shards, [high])[high]
     while low < high:
         step = max(1, -(-(high - low) // (CANDIDATES + 1)))
         tried = list(range(low, high, step))
-        paths = _fill(ends, start, total, bound, shards, tried)
+        paths = _fill(ends, start, total, shards, tried)
         fitting = [c for c in tried if paths[c][-1] == total]
         if fitting:
             high, filled = fitting[0], paths[fitting[0]]
@@ -124,25 +127,28 @@ def _least_cuts(ends: DataFrame, start: int, total: int, bound: int, shards: int
 
 
 def _fill(
-    ends: DataFrame, start: int, total: int, bound: int, shards: int, capacities: list[int]
+    ends: DataFrame, start: int, total: int, shards: int, capacities: list[int]
 ) -> dict[int, list[int]]:
     """For each capacity, where a greedy fill ends each shard.
 
-    All capacities advance by one shard in one job. A group is no larger than ``bound``,
-    so an end lies within that distance below any point: the scan of the sorted table
-    reads no other rows.
+    All capacities advance by one shard in one job. Groups follow each other without a gap,
+    so a shard that may reach a point ends where the group over that point starts: a filter
+    finds it, which gives a row a point at most, and the scan of the sorted table reads no
+    rows before the first point or after the last. The points are one value, not an expression
+    each, as every expression's code would be compiled and kept by the driver.
     """
     paths: dict[int, list[int]] = {c: [start] for c in capacities}
     for _ in range(shards):
-        points = sorted({min(total, p[-1] + c) for c, p in paths.items() if p[-1] < total})
-        if not points:
-            break
-        near = ends.where((F.col("_end") > points[0] - bound) & (F.col("_end") <= points[-1]))
-        found = near.agg(
-            *(F.max(F.when(F.col("_end") <= x, F.col("_end"))).alias(str(x)) for x in points)
-        ).first()
-        reached = dict(zip(points, found, strict=True))
+        points = sorted({p[-1] + c for c, p in paths.items() if p[-1] + c < total})
+        over = []
+        if points:
+            inside = F.exists(
+                F.lit(np.array(points, np.int64)), lambda x: (F.col("_start") <= x) & (x < F.col("_end"))
+            )
+            near = ends.where((F.col("_end") > points[0]) & (F.col("_start") <= points[-1]))
+            over = sorted(r["_start"] for r in near.where(inside).select("_start").collect())
         for c, path in paths.items():
             if path[-1] < total:
-                path.append(max(path[-1], reached[min(total, path[-1] + c)] or 0))
+                point = path[-1] + c
+                path.append(total if point >= total else over[bisect_right(over, point) - 1])
     return {c: path[1:] for c, path in paths.items()}

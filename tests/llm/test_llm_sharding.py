@@ -119,3 +119,30 @@ def test_shards_of_a_table_with_a_third_of_copies_are_even(spark, tmp_path):
     assert len(found) == len(rows) and len(loads) == 16
     assert max(loads.values()) - sum(loads.values()) / 16 <= max(r["size"] for r in found)
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_a_fill_compiles_no_code_for_each_candidate(spark):
+    """The driver compiles and keeps a job's code, so a job must not have an expression a candidate."""
+    from linetone.llm import sharding
+
+    ends = [3, 5, 6, 10, 11, 17, 20]
+    rows = list(zip([0, *ends], ends))
+    df = spark.createDataFrame(rows, "_start long, _end long").repartition(3)
+    sizes = []
+
+    class Seen:
+        def __init__(self, df):
+            self.df = df
+
+        def __getattr__(self, name):
+            found = getattr(self.df, name)
+            if name == "collect":
+                sizes.append(len(self.df._jdf.queryExecution().analyzed().toString()))
+            return lambda *a: Seen(out) if hasattr(out := found(*a), "_jdf") else out
+
+    few = sharding._fill(Seen(df), 0, 20, 4, [6])
+    short, sizes[:] = max(sizes), []
+    many = sharding._fill(Seen(df), 0, 20, 4, list(range(6, 20)))
+    assert few == {6: [6, 11, 17, 20]} and many[6] == few[6]
+    assert many[9] == [6, 11, 20] and many[10] == [10, 20] and many[19] == [17, 20]
+    assert max(sizes) < short + 200
