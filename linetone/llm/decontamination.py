@@ -5,9 +5,11 @@ DataFrame functions only: texts stay in the JVM and are never shuffled.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linetone.functions import ENGLISH
@@ -23,7 +25,12 @@ LOOSE = 3
 # Bytes of window hashes up to which they are sent to every executor.
 BROADCAST_BYTES = 64 << 20
 
+# Bits of the sieve that spares most windows of documents their words, and the most hashes it
+# is made of. It travels with the plan: 32 kB.
+SIEVE_BITS, SIEVE_HASHES = 18, 1 << 17
+
 TOKEN = r"[\p{L}\p{M}]+|\p{N}+(?:[.,:]\p{N}+)*"
+MARKS = ".!?:\n"
 MARK = r"[.!?:\n]"
 NUMBER = r"^\p{N}"
 NAME = r"^\p{Lu}[\p{Ll}\p{M}]+$"
@@ -64,7 +71,7 @@ def plain_windows(texts: DataFrame, key: str) -> DataFrame:
 
 
 def _is_mark(token: Column) -> Column:
-    return token.rlike(f"^{MARK}$")
+    return token.isin(*MARKS)
 
 
 def short_items(items: DataFrame) -> DataFrame:
@@ -112,75 +119,134 @@ def short_windows(texts: DataFrame, key: str, lengths: list[int]) -> DataFrame:
     return found.select(key, F.explode_outer("windows").alias("w")).select(key, "w.*").where("hash is not null")
 
 
-def typed_windows(texts: DataFrame, key: str) -> DataFrame:
-    """``key``, ``pos``, ``hash``, ``slots``, ``dense`` of each window that has a placeholder.
+def sieved(hashes: DataFrame) -> Callable[[Column], Column] | None:
+    """A condition on a hash that holds for all of ``hashes`` and for few others.
+
+    None if there are too many to tell others from them.
+    """
+    if hashes.count() > SIEVE_HASHES:
+        return None
+    place = F.col("hash").bitwiseAND((1 << SIEVE_BITS) - 1).cast("int")
+    bits = np.zeros(1 << SIEVE_BITS, np.uint8)
+    bits[[r[0] for r in hashes.select(place).distinct().collect()]] = 1
+    words = F.lit(np.packbits(bits, bitorder="little").view(np.int64))
+
+    def maybe(value: Column) -> Column:
+        at = value.bitwiseAND((1 << SIEVE_BITS) - 1).cast("int")
+        return F.getbit(F.get(words, F.shiftright(at, 6)), at.bitwiseAND(63)) == 1
+
+    return maybe
+
+
+def typed_readings(
+    texts: DataFrame,
+    key: str,
+    sieve: Callable[[Column], Column] | None = None,
+    told: bool = False,
+) -> DataFrame:
+    """``key``, ``pos``, ``hash``, ``words`` of each reading of a window with placeholders.
 
     A number, a unit after a number, and a capitalised word become placeholders of their
-    type; ``slots`` has what they stand for. A capital at the start of a sentence may or
-    may not be a name's, and the window's own first word may open its sentence in another
-    host. So a window with such a word, stop words apart, has two readings, one with these
-    as words and one with all of them as names. A window of placeholders only has
-    ``dense`` true and null as ``hash``.
+    type. A capital at the start of a sentence may or may not be a name's, and the window's
+    own first word may open its sentence in another host. So a window with such a word, stop
+    words apart, has two readings, one with these as words and one with all of them as names.
+    ``words`` is the window without placeholders; ``told`` adds ``said``, the reading itself.
+    The second reading may be without placeholders. Windows with no hash that passes the
+    ``sieve`` are left out before their words are put together.
     """
     tokens = texts.where(F.col("text").rlike(SLOTTED)).select(
         key, F.regexp_extract_all("text", F.lit(f"{TOKEN}|{MARK}"), F.lit(0)).alias("tokens")
     )
+    tokens = tokens.select(key, "tokens", F.transform("tokens", F.lower).alias("lower"))
 
     def typed(token: Column, i: Column) -> Column:
-        before = F.when(i > 0, F.get("tokens", i - 1))
-        opens = F.coalesce(_is_mark(before), F.lit(True))
-        lower = F.lower(token)
+        before, lower = F.get("tokens", i - 1), F.get("lower", i)
+        opens = (i == 0) | _is_mark(before)
+        unit = lower.isin(UNITS) & (i > 0) & before.rlike(NUMBER)
+        # Nearly all tokens are told by their first letter, which spares them the patterns.
         kind = (
-            F.when(token.rlike(NUMBER), "<number>")
-            .when(before.rlike(NUMBER) & lower.isin(UNITS), "<unit>")
-            .when(token.rlike(NAME) & ~(opens & lower.isin(*ENGLISH)), "<name>")
+            F.when((token >= "a") & (token < "{"), F.when(unit, "<unit>").otherwise(lower))
+            .when(token.rlike(NUMBER), "<number>")
+            .when(unit, "<unit>")
+            .when(token.rlike(NAME) & ~(lower.isin(*ENGLISH) & opens), "<name>")
             .otherwise(lower)
         )
         return F.struct(lower.alias("word"), kind.alias("kind"), opens.alias("opens"))
 
     words = tokens.select(key, F.transform("tokens", typed).alias("all"))
     words = words.select(key, F.filter("all", lambda w: ~_is_mark(w["word"])).alias("all"))
-
-    def unnamed(w: Column) -> Column:
-        return F.when(w["kind"] == "<name>", w["word"]).otherwise(w["kind"])
-
+    named = lambda w: w["kind"] == "<name>"
     words = words.select(
         key,
         # Not all.word, which Spark would work out anew at every place it is used.
         F.transform("all", lambda w: w["word"]).alias("word"),
         F.transform("all", lambda w: w["kind"]).alias("kind"),
-        F.transform("all", unnamed).alias("first"),
-        F.transform("all", lambda w: F.when(w["opens"], unnamed(w)).otherwise(w["kind"])).alias("sure"),
+        F.transform("all", lambda w: w["kind"] != w["word"]).alias("typed"),
+        F.transform("all", named).alias("named"),
+        F.transform("all", lambda w: named(w) & w["opens"]).alias("unsure"),
+    )
+    starts = F.filter(
+        _starts(F.col("word")), lambda i: reduce(or_, (F.get("typed", i + k) for k in range(WINDOW)))
     )
+    words = words.select("*", starts.alias("starts"))
+
     places = range(WINDOW)
 
-    def differs(i: Column, a: list[str], b: list[str]) -> Column:
-        unequal = (F.get(x, i + k) != F.get(y, i + k) for k, (x, y) in enumerate(zip(a, b, strict=True)))
-        return reduce(or_, unequal)
+    def names(i: Column) -> list[Column]:
+        return [F.get("kind", i + k) for k in places]
 
-    plain, names, sure = ["word"] * WINDOW, ["kind"] * WINDOW, ["first"] + ["sure"] * (WINDOW - 1)
-    starts = F.filter(_starts(F.col("word")), lambda i: differs(i, names, plain))
-    words = words.select("*", starts.alias("starts"))
+    def sure(i: Column) -> list[Column]:
+        word = [F.get("unsure" if k else "named", i + k) for k in places]
+        return [F.when(word[k], F.get("word", i + k)).otherwise(F.get("kind", i + k)) for k in places]
 
-    def reading(i: Column, of: list[str]) -> Column:
-        said = [F.get(of[k], i + k) for k in places]
-        slots = F.array_compact(
-            F.array(*(F.when(said[k] != F.get("word", i + k), F.get("word", i + k)) for k in places))
+    def hashed(i: Column) -> Column:
+        two = reduce(or_, (F.get("unsure", i + k) for k in places[1:]), F.get("named", i))
+        return F.struct(
+            i.alias("pos"),
+            F.xxhash64(*names(i)).alias("names"),
+            F.when(two, F.xxhash64(*sure(i))).alias("sure"),
         )
-        return F.struct(i.alias("pos"), F.xxhash64(*said).alias("hash"), slots.alias("slots"))
 
-    windows = F.flatten(
-        F.transform(
-            "starts",
-            lambda i: F.array(reading(i, names), F.when(differs(i, sure, names), reading(i, sure))),
-        )
-    )
-    # What is exploded carries the key only, not the words.
-    found = words.select(key, windows.alias("windows"))
+    def window(w: Column) -> Column:
+        own = F.array(*(F.get("word", w["pos"] + k) for k in places))
+        said = [F.array(*names(w["pos"])).alias("n"), F.array(*sure(w["pos"])).alias("s")] if told else []
+        return F.struct(w["pos"].alias("pos"), w["names"].alias("names"), w["sure"].alias("sure"), own.alias("words"), *said)
+
+    hashes = F.transform("starts", hashed)
+    if sieve:
+        hashes = F.filter(hashes, lambda w: sieve(w["names"]) | F.coalesce(sieve(w["sure"]), F.lit(False)))
+    words = words.withColumn("hashes", hashes)
+    # What is exploded carries the key only, not the words of the text.
+    found = words.select(key, F.transform("hashes", window).alias("windows"))
     found = found.select(key, F.explode_outer("windows").alias("w")).select(key, "w.*")
-    dense = F.size("slots") == WINDOW
-    return found.where(F.size("slots") > 0).select(
-        key, "pos", F.when(~dense, F.col("hash")).alias("hash"), "slots", dense.alias("dense")
+    both = [
+        F.struct(F.col(c).alias("hash"), *([F.col(said).alias("said")] if told else []))
+        for c, said in (("names", "n"), ("sure", "s"))
+    ]
+    found = found.where("names is not null").select(key, "pos", "words", F.explode(F.array(*both)).alias("r"))
+    return found.select(key, "pos", "words", "r.*").where("hash is not null")
+
+
+def typed_windows(texts: DataFrame, key: str) -> DataFrame:
+    """``key``, ``pos``, ``hash``, ``places``, ``slots``, ``dense`` of each window that has a placeholder.
+
+    The windows of :func:`typed_readings`. ``slots`` has what the placeholders stand for,
+    ``places`` where in the window they are. A window of placeholders only has ``dense``
+    true and null as ``hash``.
+    """
+    found = typed_readings(texts, key, told=True)
+    every = F.array(*map(F.lit, range(WINDOW)))
+    places = F.filter(every, lambda k: F.get("said", k) != F.get("words", k))
+    found = found.withColumn("places", places).where(F.size("places") > 0)
+    dense = F.size("places") == WINDOW
+    slots = F.transform("places", lambda k: F.get("words", k))
+    return found.select(
+        key,
+        "pos",
+        F.when(~dense, F.col("hash")).alias("hash"),
+        "places",
+        slots.alias("slots"),
+        dense.alias("dense"),
     )
 
 
@@ -212,8 +278,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     dense = typed.where("dense").select(F.col("item_id").alias("_item"), F.col("pos").alias("_pos")).distinct()
     columns = ["item_id", F.col("pos").alias("item_pos"), "hash"]
     none = F.lit(None).cast("array<string>")
-    wanted = plain.select(*columns, none.alias("item_slots")).unionByName(
-        typed.where("hash is not null").select(*columns, F.col("slots").alias("item_slots"))
+    nowhere = F.lit(None).cast("array<int>")
+    wanted = plain.select(*columns, none.alias("item_slots"), nowhere.alias("places")).unionByName(
+        typed.where("hash is not null").select(*columns, F.col("slots").alias("item_slots"), "places")
     )
     same = F.col("item_id").eqNullSafe(F.col("_item")) & (F.col("item_pos") == F.col("_pos"))
     wanted = wanted.join(dense, same, "left").withColumn("counts", F.col("_pos").isNull()).drop("_item", "_pos")
@@ -225,19 +292,23 @@ def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     wanted = wanted.join(total, F.col("item_id").eqNullSafe(F.col("_item"))).drop("_item")
     wanted = stage(wanted, "wanted")
     hashes = stage(wanted.select("hash").distinct(), "hashes")
+    sieve = sieved(hashes)
     if hashes.count() * 8 <= BROADCAST_BYTES:
         hashes = F.broadcast(hashes)
     found = plain_windows(documents, "doc_id").join(hashes, "hash", "left_semi")
-    found = found.withColumn("slots", none).unionByName(
-        typed_windows(documents, "doc_id").drop("dense").join(hashes, "hash", "left_semi")
+    found = found.withColumn("words", none).unionByName(
+        typed_readings(documents, "doc_id", sieve).join(hashes, "hash", "left_semi")
     )
     if lengths:
         whole = short_windows(documents, "doc_id", lengths).join(hashes, "hash", "left_semi")
-        found = found.unionByName(whole.withColumn("slots", none))
+        found = found.unionByName(whole.withColumn("words", none))
     found = stage(found, "found")
+    # Equal readings have their placeholders at the same places. One without any is a plain
+    # window's, and one of placeholders only has no hash among the items'.
     met = found.join(wanted, "hash").where(
-        F.col("slots").isNull() == F.col("item_slots").isNull()
+        F.col("words").isNull() == F.col("item_slots").isNull()
     )
+    met = met.withColumn("slots", F.transform("places", lambda k: F.get("words", k)))
     plain_at = F.when(F.col("slots").isNull(), F.col("item_pos"))
     zipped = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
     pair = ["doc_id", "item_id", "windows", "templates"]

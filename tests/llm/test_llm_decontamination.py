@@ -127,3 +127,22 @@ def test_equal_to_sql(tables, request, tmp_path):
     for name in ("documents", "benchmark"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}/*.parquet')")
     assert compare(leaks(df, bench), connection, ORACLE_SQL) is None
+
+
+def test_documents_put_together_the_words_of_few_windows_only(spark):
+    from pyspark.sql import functions as F
+
+    from linetone.llm.decontamination import SIEVE_HASHES, sieved, typed_readings, typed_windows
+
+    text = ". ".join(f"Then {name} took {n} kg of it home" for n, name in enumerate(["Anna", "Bert", "Cleo", "Doro"] * 9))
+    docs = spark.createDataFrame([(1, text), (2, ITEM), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
+    wanted = typed_windows(items, "item_id").where("hash is not null").select("hash").distinct()
+    every = typed_readings(docs, "doc_id")
+    few = typed_readings(docs, "doc_id", sieved(wanted))
+    met = [sorted(map(tuple, found.join(wanted, "hash", "left_semi").collect())) for found in (every, few)]
+    assert met[0] == met[1] and len(met[0]) >= wanted.count()
+    assert few.where("doc_id = 1").count() < every.where("doc_id = 1").count() / 4
+    values = spark.createDataFrame([(v,) for v in (-(1 << 63), -1, 0, 63, 64, (1 << 63) - 1)], "hash long")
+    assert values.where(sieved(values)(F.col("hash"))).count() == 6
+    assert sieved(spark.range(SIEVE_HASHES + 1).withColumnRenamed("id", "hash")) is None
