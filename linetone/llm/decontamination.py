@@ -34,9 +34,16 @@ MARKS = ".!?:\n"
 MARK = r"[.!?:\n]"
 NUMBER = r"^\p{N}"
 NAME = r"^\p{Lu}[\p{Ll}\p{M}]+$"
+NAMED = "<name>"
 
-# What makes typed words differ from plain ones: a number or a capitalised word.
-SLOTTED = r"\p{N}|\p{Lu}[\p{Ll}\p{M}]"
+# A word with what is before it from the first mark on, or what is left of a text after a mark.
+# Nothing is gone back over, so that no text takes longer than its length.
+MARKED_TOKEN = (
+    r"[.!?:\n][^\p{L}\p{M}\p{N}]*+(?:[\p{L}\p{M}]++|\p{N}++(?:[.,:]\p{N}++)*+|\z)"
+    r"|[\p{L}\p{M}]++|\p{N}++(?:[.,:]\p{N}++)*+"
+)
+BEFORE = r"^[^\p{L}\p{M}\p{N}]+"
+MARKED_NAME = r"(?<![\p{L}\p{M}\p{N}])\p{Lu}[\p{Ll}\p{M}]+$"
 
 # Names of units, singular and plural.
 UNITS = (
@@ -49,31 +56,20 @@ UNITS = (
 ).split()
 
 
-def _starts(words: Column) -> Column:
-    """Positions of ``words`` that open a window."""
-    starts = F.when(F.size(words) >= WINDOW, F.sequence(F.lit(0), F.size(words) - WINDOW))
-    return F.coalesce(starts, F.array().cast("array<int>"))
-
-
 def plain_windows(texts: DataFrame, key: str) -> DataFrame:
     """``key``, ``pos``, ``hash`` of each window of lower-cased words and numbers."""
-    words = texts.select(
-        key, F.regexp_extract_all(F.lower("text"), F.lit(TOKEN), F.lit(0)).alias("words")
-    )
-    windows = F.transform(
-        _starts(F.col("words")),
-        lambda i: F.xxhash64(*(F.get("words", i + k) for k in range(WINDOW))),
-    )
-    hashes = words.select(key, windows.alias("hashes"))
-    # The outer form: for the plain one Spark adds a filter that repeats the whole computation.
-    windows = hashes.select(key, F.posexplode_outer("hashes").alias("pos", "hash"))
-    return windows.where("hash is not null")
+    return readings(texts, key).where("words is null").select(key, "pos", "hash")
 
 
 def _is_mark(token: Column) -> Column:
     return token.isin(*MARKS)
 
 
+def _marked(token: Column) -> Column:
+    """Whether a token of ``MARKED_TOKEN`` begins with a mark: no letter or digit is below these."""
+    return (token < "A") & ((token < "0") | (token >= ":"))
+
+
 def short_items(items: DataFrame) -> DataFrame:
     """``item_id``, ``pos``, ``hash``, ``words`` of items with fewer words than a window."""
     words = items.select(
@@ -138,93 +134,101 @@ def sieved(hashes: DataFrame) -> Callable[[Column], Column] | None:
     return maybe
 
 
-def typed_readings(
-    texts: DataFrame,
-    key: str,
-    sieve: Callable[[Column], Column] | None = None,
-    told: bool = False,
-) -> DataFrame:
-    """``key``, ``pos``, ``hash``, ``words`` of each reading of a window with placeholders.
-
-    A number, a unit after a number, and a capitalised word become placeholders of their
-    type. A capital at the start of a sentence may or may not be a name's, and the window's
-    own first word may open its sentence in another host. So a window with such a word, stop
-    words apart, has two readings, one with these as words and one with all of them as names.
-    ``words`` is the window without placeholders; ``told`` adds ``said``, the reading itself.
-    The second reading may be without placeholders. Windows with no hash that passes the
-    ``sieve`` are left out before their words are put together.
+def _told_words(texts: DataFrame, key: str) -> DataFrame:
+    """``key`` and, place by place, ``token``, ``word`` and ``kind`` of the words of a text.
+
+    ``token`` is the word as it stands, with what is before it if that has a mark, ``word`` in
+    lower case, ``kind`` its placeholder or else ``word``. ``opens`` has the windows' places.
     """
-    tokens = texts.where(F.col("text").rlike(SLOTTED)).select(
-        key, F.regexp_extract_all("text", F.lit(f"{TOKEN}|{MARK}"), F.lit(0)).alias("tokens")
-    )
-    tokens = tokens.select(key, "tokens", F.transform("tokens", F.lower).alias("lower"))
+    tokens = texts.select(key, F.regexp_extract_all("text", F.lit(MARKED_TOKEN), F.lit(0)).alias("token"))
+
+    def lowered(token: Column) -> Column:
+        return F.lower(F.when(_marked(token), F.regexp_replace(token, BEFORE, "")).otherwise(token))
 
     def typed(token: Column, i: Column) -> Column:
-        before, lower = F.get("tokens", i - 1), F.get("lower", i)
-        opens = (i == 0) | _is_mark(before)
-        unit = lower.isin(UNITS) & (i > 0) & before.rlike(NUMBER)
+        word, before = F.get("word", i), F.get("word", i - 1)
+        unit = word.isin(UNITS) & (i > 0) & ~_marked(token) & before.rlike(NUMBER)
+        opens = (i == 0) | _marked(token)
         # Nearly all tokens are told by their first letter, which spares them the patterns.
-        kind = (
-            F.when((token >= "a") & (token < "{"), F.when(unit, "<unit>").otherwise(lower))
-            .when(token.rlike(NUMBER), "<number>")
+        return (
+            F.when((token >= "a") & (token < "{"), F.when(unit, "<unit>").otherwise(word))
+            .when(word.rlike(NUMBER), "<number>")
             .when(unit, "<unit>")
-            .when(token.rlike(NAME) & ~(lower.isin(*ENGLISH) & opens), "<name>")
-            .otherwise(lower)
+            .when(token.rlike(MARKED_NAME) & ~(word.isin(*ENGLISH) & opens), NAMED)
+            .otherwise(word)
         )
-        return F.struct(lower.alias("word"), kind.alias("kind"), opens.alias("opens"))
 
-    words = tokens.select(key, F.transform("tokens", typed).alias("all"))
-    words = words.select(key, F.filter("all", lambda w: ~_is_mark(w["word"])).alias("all"))
-    named = lambda w: w["kind"] == "<name>"
-    words = words.select(
-        key,
-        # Not all.word, which Spark would work out anew at every place it is used.
-        F.transform("all", lambda w: w["word"]).alias("word"),
-        F.transform("all", lambda w: w["kind"]).alias("kind"),
-        F.transform("all", lambda w: w["kind"] != w["word"]).alias("typed"),
-        F.transform("all", named).alias("named"),
-        F.transform("all", lambda w: named(w) & w["opens"]).alias("unsure"),
-    )
-    starts = F.filter(
-        _starts(F.col("word")), lambda i: reduce(or_, (F.get("typed", i + k) for k in range(WINDOW)))
-    )
-    words = words.select("*", starts.alias("starts"))
+    words = tokens.select(key, "token", F.transform("token", lowered).alias("word"))
+    words = words.select(key, "token", "word", F.transform("token", typed).alias("kind"))
+    # A last mark has no word after it.
+    size = F.size("word") - F.when(F.get("word", F.size("word") - 1) == "", 1).otherwise(0)
+    return words.withColumn("opens", F.when(size >= WINDOW, F.sequence(F.lit(0), size - WINDOW)))
 
-    places = range(WINDOW)
 
-    def names(i: Column) -> list[Column]:
-        return [F.get("kind", i + k) for k in places]
-
-    def sure(i: Column) -> list[Column]:
-        word = [F.get("unsure" if k else "named", i + k) for k in places]
-        return [F.when(word[k], F.get("word", i + k)).otherwise(F.get("kind", i + k)) for k in places]
+def readings(
+    texts: DataFrame,
+    key: str,
+    sieve: Callable[[Column], Column] | None = None,
+    told: bool = False,
+) -> DataFrame:
+    """``key``, ``pos``, ``hash``, ``words`` of each reading of a window of five words.
+
+    The plain reading, of lower-cased words and numbers, has null as ``words``. A window with
+    a number, a unit after a number, or a capitalised word also has one with placeholders of
+    their type. A capital at the start of a sentence may or may not be a name's, and the
+    window's own first word may open its sentence in another host. So a window with such a
+    word, stop words apart, has two readings with placeholders, one with these as words and
+    one with all of them as names; the first may be without any. For both, ``words`` is the
+    window without placeholders; ``told`` adds ``said``, the reading itself. Readings whose
+    hash does not pass the ``sieve`` are left out before their words are put together.
+
+    Windows are exploded by place, and read from the lists of their text in compiled code;
+    lists of windows within the row would be made by interpreted functions.
+    """
+    places = ["pos", *(f"pos_{k}" for k in range(1, WINDOW))]
 
-    def hashed(i: Column) -> Column:
-        two = reduce(or_, (F.get("unsure", i + k) for k in places[1:]), F.get("named", i))
-        return F.struct(
-            i.alias("pos"),
-            F.xxhash64(*names(i)).alias("names"),
-            F.when(two, F.xxhash64(*sure(i))).alias("sure"),
-        )
+    def at(column: str) -> list[Column]:
+        return [F.get(column, F.col(place)) for place in places]
 
-    def window(w: Column) -> Column:
-        own = F.array(*(F.get("word", w["pos"] + k) for k in places))
-        said = [F.array(*names(w["pos"])).alias("n"), F.array(*sure(w["pos"])).alias("s")] if told else []
-        return F.struct(w["pos"].alias("pos"), w["names"].alias("names"), w["sure"].alias("sure"), own.alias("words"), *said)
+    def sure() -> list[Column]:
+        opens = [F.lit(True), *(_marked(token) for token in at("token")[1:])]
+        return [
+            F.when((kind == NAMED) & first, word).otherwise(kind)
+            for kind, word, first in zip(at("kind"), at("word"), opens, strict=True)
+        ]
 
-    hashes = F.transform("starts", hashed)
+    # The outer form: for the plain one Spark adds a filter that repeats the whole computation.
+    lists = [key, "token", "word", "kind", *places]
+    windows = _told_words(texts, key).withColumn("pos", F.explode_outer("opens")).where("pos is not null")
+    # Sums are made once: those of an ANSI session are dearer than what they look up.
+    windows = windows.select("*", *((F.col("pos") + k).alias(places[k]) for k in range(1, WINDOW)))
+    windows = windows.select(
+        *lists, F.xxhash64(*at("word")).alias("plain"), F.xxhash64(*at("kind")).alias("names")
+    )
+    typed = F.col("names") != F.col("plain")
+    windows = windows.withColumn("sure", F.when(typed, F.xxhash64(*sure())))
+    hashes = F.array(
+        "plain",
+        F.when(typed, F.col("names")),
+        F.when(F.col("sure") != F.col("names"), F.col("sure")),
+    )
+    found = windows.select(*lists, F.posexplode_outer(hashes).alias("nth", "hash"))
+    found = found.where("hash is not null")
     if sieve:
-        hashes = F.filter(hashes, lambda w: sieve(w["names"]) | F.coalesce(sieve(w["sure"]), F.lit(False)))
-    words = words.withColumn("hashes", hashes)
-    # What is exploded carries the key only, not the words of the text.
-    found = words.select(key, F.transform("hashes", window).alias("windows"))
-    found = found.select(key, F.explode_outer("windows").alias("w")).select(key, "w.*")
-    both = [
-        F.struct(F.col(c).alias("hash"), *([F.col(said).alias("said")] if told else []))
-        for c, said in (("names", "n"), ("sure", "s"))
-    ]
-    found = found.where("names is not null").select(key, "pos", "words", F.explode(F.array(*both)).alias("r"))
-    return found.select(key, "pos", "words", "r.*").where("hash is not null")
+        found = found.where(sieve(F.col("hash")))
+    own = F.when(F.col("nth") > 0, F.array(*at("word"))).alias("words")
+    said = F.when(F.col("nth") == 1, F.array(*at("kind"))).when(F.col("nth") == 2, F.array(*sure()))
+    return found.select(key, "pos", "hash", own, *([said.alias("said")] if told else []))
+
+
+def typed_readings(
+    texts: DataFrame,
+    key: str,
+    sieve: Callable[[Column], Column] | None = None,
+    told: bool = False,
+) -> DataFrame:
+    """The :func:`readings` with placeholders."""
+    return readings(texts, key, sieve, told).where("words is not null")
 
 
 def typed_windows(texts: DataFrame, key: str) -> DataFrame:
@@ -295,10 +299,7 @@ def leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
     sieve = sieved(hashes)
     if hashes.count() * 8 <= BROADCAST_BYTES:
         hashes = F.broadcast(hashes)
-    found = plain_windows(documents, "doc_id").join(hashes, "hash", "left_semi")
-    found = found.withColumn("words", none).unionByName(
-        typed_readings(documents, "doc_id", sieve).join(hashes, "hash", "left_semi")
-    )
+    found = readings(documents, "doc_id", sieve).join(hashes, "hash", "left_semi")
     if lengths:
         whole = short_windows(documents, "doc_id", lengths).join(hashes, "hash", "left_semi")
         found = found.unionByName(whole.withColumn("words", none))

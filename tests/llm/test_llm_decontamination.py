@@ -146,3 +146,42 @@ def test_documents_put_together_the_words_of_few_windows_only(spark):
     values = spark.createDataFrame([(v,) for v in (-(1 << 63), -1, 0, 63, 64, (1 << 63) - 1)], "hash long")
     assert values.where(sieved(values)(F.col("hash"))).count() == 6
     assert sieved(spark.range(SIEVE_HASHES + 1).withColumnRenamed("id", "hash")) is None
+
+
+def test_documents_are_read_once_for_all_readings(spark, monkeypatch, tmp_path):
+    from linetone.llm import decontamination
+
+    plans = {}
+
+    def staged(df, name, stage=decontamination.stage):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stage(df, name)
+
+    monkeypatch.setattr(decontamination, "stage", staged)
+    spark.createDataFrame([(1, ITEM)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents")
+    items = spark.createDataFrame([(0, ITEM)], "item_id long, text string")
+    assert leaks(spark.read.parquet(f"{tmp_path}/documents"), items).count() == 1
+    assert plans["found"].count("regexp_extract_all") == 1
+
+
+def test_marks_without_words_and_between_them_equal_to_sql(spark, tmp_path):
+    swapped = ITEM.replace("Smith", "Jones").replace("12 kg", "45 kg").replace("Miller", "Fischer")
+    texts = [
+        "... !? " + ITEM + " ... ?!\n",
+        ITEM + "." * 5_000,
+        "(Then. " * 3 + swapped.replace("12", "45") + ": - .",
+        ITEM.replace(" and then", ".\n - And then").replace("12 kg", "12. kg"),
+        ITEM.replace("12 kg", "3.5 KG").replace("12 pies", "3.5 pies").replace("30", "1:2"),
+        ".",
+        "  ",
+        "Ärger Жук ١٢ kg. 7 Été 12 Miles x́y Ⅷ McDonald eBay USA " * 2,
+    ]
+    items = [ITEM, texts[-1], "? " + ITEM.replace("12", "9"), "..."]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark")
+    connection = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}/*.parquet')")
+    tables = [spark.read.parquet(f"{tmp_path}/{name}") for name in ("documents", "benchmark")]
+    assert leaks(*tables).count() >= 6
+    assert compare(leaks(*tables), connection, ORACLE_SQL) is None
