@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,6 +19,9 @@ SHARDS = 16
 # Capacities tried at once: each round of the search narrows the range by this factor.
 CANDIDATES = 96
 
+# Ends of groups near the cuts up to which the search looks through them on the driver: 0.5 MB.
+NEAR = 1 << 16
+
 
 def text_size() -> Column:
     """UTF-8 bytes of ``text`` (null: none) plus 1."""
@@ -108,24 +113,48 @@ def _least_cuts(ends: DataFrame, start: int, total: int, bound: int, shards: int
     """Ends of the shards at the smallest capacity for which a greedy fill needs at most ``shards``.
 
     ``bound`` is the largest group. A capacity of the even share plus ``bound`` always
-    suffices, which limits the search.
+    suffices, which limits the search. A shard of any capacity in that range ends less than
+    ``bound`` under it, so the ends that can matter lie in a span for each shard. As soon as
+    these hold no more than ``NEAR`` ends, those are looked through here: a job a shard and
+    round leaves its plan, its counts and its broadcast with the driver. Until then fills of
+    ``CANDIDATES`` narrow the range; a path of a lesser capacity is nowhere ahead.
     """
     if start >= total:
         return []
-    low = max(bound, -(-(total - start) // shards))
-    high = max(low, -(-(total - start) // shards) + bound)
-    filled = _fill(ends, start, total, shards, [high])[high]
-    while low < high:
+    even = -(-(total - start) // shards)
+    low = max(bound, even)
+    high = max(low, even + bound)
+    least = [start + n * (low - bound) for n in range(1, shards)]
+    most = [start + n * high for n in range(1, shards)]
+    filled = None
+    while filled is None or low < high:
+        inside = reduce(or_, (F.col("_end").between(*span) for span in zip(least, most)), F.lit(False))
+        near = ends.where(inside).select("_end")
+        if near.count() <= NEAR:
+            known = sorted(r["_end"] for r in near.collect())
+            fits = lambda c: _path(known, start, total, shards, c)[-1] == total
+            return _path(known, start, total, shards, bisect_left(range(high), True, low, key=fits))
         step = max(1, -(-(high - low) // (CANDIDATES + 1)))
-        tried = list(range(low, high, step))
-        paths = _fill(ends, start, total, shards, tried)
-        fitting = [c for c in tried if paths[c][-1] == total]
+        paths = _fill(ends, start, total, shards, [*range(low, high, step)] or [high])
+        failing = [c for c in paths if paths[c][-1] != total]
+        fitting = [c for c in paths if paths[c][-1] == total]
         if fitting:
             high, filled = fitting[0], paths[fitting[0]]
-        low = max([low, *(c + 1 for c in tried if c < high and paths[c][-1] != total)])
+            most = [*filled, *[total] * shards][: shards - 1]
+        if failing:
+            low, least = failing[-1] + 1, paths[failing[-1]][: shards - 1]
     return filled
 
 
+def _path(ends: list[int], start: int, total: int, shards: int, capacity: int) -> list[int]:
+    """Where a greedy fill ends each shard; ``ends`` has at least those that it meets, sorted."""
+    path = [start]
+    while len(path) <= shards and path[-1] < total:
+        point = path[-1] + capacity
+        path.append(total if point >= total else ends[bisect_right(ends, point) - 1])
+    return path[1:]
+
+
 def _fill(
     ends: DataFrame, start: int, total: int, shards: int, capacities: list[int]
 ) -> dict[int, list[int]]:

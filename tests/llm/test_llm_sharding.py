@@ -146,3 +146,42 @@ def test_a_fill_compiles_no_code_for_each_candidate(spark):
     assert few == {6: [6, 11, 17, 20]} and many[6] == few[6]
     assert many[9] == [6, 11, 20] and many[10] == [10, 20] and many[19] == [17, 20]
     assert max(sizes) < short + 200
+
+
+def jobs_of(spark, work):
+    tracker, group = spark.sparkContext.statusTracker(), f"sharding-{random.random()}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        return work(), len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_a_search_takes_few_jobs_however_many_shards(spark):
+    """Each job leaves its plan and its counts with the driver."""
+    from linetone.llm import sharding
+
+    picks = random.Random(5)
+    sizes = [picks.randint(1, 900) for _ in range(400)]
+    ends = list(itertools.accumulate(sizes))
+    rows = list(zip([0, *ends], ends, strict=False))
+    df = spark.createDataFrame(rows, "_start long, _end long").repartition(3)
+    found, jobs = jobs_of(spark, lambda: sharding._least_cuts(df, 0, ends[-1], max(sizes), 16))
+    assert max(b - a for a, b in itertools.pairwise([0, *found])) == least_capacity(sizes, 16)
+    assert found[-1] == ends[-1] and len(found) <= 16
+    assert jobs < 16
+
+
+@pytest.mark.parametrize("near", [0, 4, 40])
+def test_a_search_is_exact_however_few_ends_the_driver_looks_through(spark, monkeypatch, near):
+    from linetone.llm import sharding
+
+    picks = random.Random(near)
+    sizes = [picks.choice([1, 2, 3, 250]) for _ in range(90)]
+    ends = list(itertools.accumulate(sizes))
+    df = spark.createDataFrame(list(zip([0, *ends], ends, strict=False)), "_start long, _end long").repartition(3)
+    monkeypatch.setattr(sharding, "NEAR", near)
+    monkeypatch.setattr(sharding, "CANDIDATES", 5)
+    found = sharding._least_cuts(df, 0, ends[-1], max(sizes), 5)
+    assert max(b - a for a, b in itertools.pairwise([0, *found])) == least_capacity(sizes, 5)
+    assert found[-1] == ends[-1] and len(found) <= 5
