@@ -85,6 +85,9 @@ def _links(distinct: DataFrame) -> DataFrame:
     linked another exact way: a pair differs in at most ``MOST_BITS`` bits if, and only if,
     some value is within half as many bits of both. Every such value a fingerprint reaches
     is a key, and the smallest fingerprint at a key is linked to the others there.
+
+    All three joins are merges: Spark sizes exploded rows as if nothing was exploded, and a
+    table by its compressed files, and would send tens of millions of rows by the driver.
     """
     masks = [
         sum(0xFF << (8 * p) for p in positions) for positions in combinations(range(BYTES), SHARED)
@@ -98,7 +101,7 @@ def _links(distinct: DataFrame) -> DataFrame:
     )
     postings = distinct.select("fp", F.explode(keys).alias("key")).select("fp", "key.*")
     lists = postings.groupBy("block", "bytes").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(postings.join(lists, ["block", "bytes"]), "lists")
+    shared = stage(postings.join(lists.hint("merge"), ["block", "bytes"]), "lists")
     short = shared.where(F.col("n") <= LIST).select("block", "bytes", "fp")
     a, b = short.withColumnRenamed("fp", "a"), short.withColumnRenamed("fp", "b")
     differing = F.col("a").bitwiseXOR(F.col("b"))
@@ -107,7 +110,7 @@ def _links(distinct: DataFrame) -> DataFrame:
         for m in (0xFF << (8 * p) for p in range(BYTES))
     )
     pairs = (
-        a.join(b, ["block", "bytes"])
+        a.join(b.hint("merge"), ["block", "bytes"])
         .where(F.col("a") < F.col("b"))
         .where(equal_bytes >= SHARED)
         .where(F.bit_count(differing) <= MOST_BITS)
@@ -122,7 +125,7 @@ def _links(distinct: DataFrame) -> DataFrame:
     reached = crowded.select("fp", F.explode_outer(near).alias("key"))
     meeting = reached.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("b"))
     meeting = meeting.where(F.col("a") < F.col("b")).select("key", "a")
-    through = reached.join(meeting, "key").where(F.col("a") < F.col("fp"))
+    through = reached.join(meeting.hint("merge"), "key").where(F.col("a") < F.col("fp"))
     return pairs.unionByName(through.select("a", F.col("fp").alias("b")).distinct())
 
 

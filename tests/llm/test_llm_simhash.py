@@ -5,12 +5,14 @@ import re
 
 import pytest
 import xxhash
+from conftest import plan_of
 from odd_documents import documents, empty
 from pyspark.sql import functions as F
 
 from linetone.llm import simhash as module
 from linetone.llm.components import components
 from linetone.llm.simhash import as_hex, near_duplicates, simhash, without_near_duplicates
+from linetone.session import stage
 
 
 def plain_simhash(text: str) -> int:
@@ -76,6 +78,24 @@ def test_links_have_the_components_of_all_pairs(spark, monkeypatch, limit):
     assert len(set().union(*groups.values())) == len(groups)
 
 
+def test_exploded_rows_are_not_broadcast(spark, monkeypatch):
+    """Spark takes them for as small as the table they come from."""
+    plans = []
+
+    def staged(df, name):
+        plans.append(plan_of(df))
+        return stage(df, name)
+
+    values = [(i * 0x9E3779B97F4A7C15 % (1 << 62) ^ bit,) for i in range(20) for bit in (0, 1, 2)]
+    distinct = stage(spark.createDataFrame(values, "fp long"), "distinct")
+    monkeypatch.setattr(module, "stage", staged)
+    links = module._links(distinct)
+    plans.append(plan_of(links))
+    assert [plan.count("SortMergeJoin") for plan in plans] == [1, 2]
+    assert len(links.collect()) >= 40
+    assert not any("BroadcastHashJoin" in plan for plan in [*plans, plan_of(links)])
+
+
 def test_chain_of_components(spark):
     chain = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 100), (7, 7)]
     found = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
